@@ -42,14 +42,19 @@ def _row_latitude(y: Column, cells: Column, projection: str) -> Column:
 
 
 def with_centers(
-    df: DataFrame, quadkey: str = "quadkey", projection: str = "linear", lenient: bool = False
+    df: DataFrame,
+    quadkey: str = "quadkey",
+    projection: str = "linear",
+    lenient: bool = False,
+    checked: bool = False,
 ) -> DataFrame:
     """Add ``latitude`` and ``longitude``, the centre of each quadkey's cell.
 
     Strict: null, empty or a character outside 0-3 gives (0, 0).
     Lenient: characters outside 0-3 are skipped; nothing left gives (0, 0).
     ``linear`` halves the latitude range once per digit; ``mercator`` gives the
-    true latitude of the tile row.
+    true latitude of the tile row. ``checked`` says that the keys were already
+    filtered with ``is_quadkey`` and skips the test.
 
     The key is read once as a base-4 number whose even bits are the cell's column and
     odd bits its row; integer arithmetic separates them. Each step is a projection of
@@ -62,6 +67,8 @@ def with_centers(
     if lenient:
         digits = F.regexp_replace(key, "[^0-3]", "")
         digits = F.when(digits != "", digits)
+    elif checked:
+        digits = key
     else:
         digits = F.when(key.rlike(r"^[0-3]+\z"), key)
     out = df.select(*columns, digits.alias("__digits"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tilelake.functions import grid_cell, is_location
 from tilelake.operators.skew import salted_join
+from tilelake.runtime import checkpointed
 
 _MAX_LEVEL = 20
 _CELL = ["level", "cell_x", "cell_y"]
@@ -71,10 +72,11 @@ def tiles_in_boxes(
         keys.append(F.struct(F.lit(level).alias("level"), x.alias("cell_x"), y.alias("cell_y")))
     if not keys:
         keys.append(F.struct(F.lit(-1).alias("level"), F.lit(0).alias("cell_x"), F.lit(0).alias("cell_y")))
-    probes = per_location.select("*", F.inline(F.array(*keys)))
+    probe = F.inline(F.array(*keys))
     if size["cells"] * _BOX_BYTES + (size["name_bytes"] or 0) <= max_broadcast_bytes:
-        met = probes.join(F.broadcast(cells), _CELL)
+        met = per_location.select("*", probe).join(F.broadcast(cells), _CELL)
     else:
+        probes = checkpointed(per_location).select("*", probe)
         rows_per_cell = probes.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("rows"))
         met = salted_join(probes, cells, _CELL, rows_per_cell, "inner", shares)
     inside = F.col("latitude").between(F.col("lat_min"), F.col("lat_max")) & F.col("longitude").between(

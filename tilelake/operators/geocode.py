@@ -1,8 +1,8 @@
 """Exact nearest-place lookup as equi-joins on grid cells.
 
 The gazetteer is turned into a *place index* once: the globe is cut into leaf cells,
-finer where places are dense, and each leaf keeps the places that are nearest to some
-point of it. A location then only meets the few places of its own leaf. While the
+finer where places are dense, and each leaf keeps every place that may be nearest to
+some point of it. A location then only meets the few places of its own leaf. While the
 index is small enough to broadcast (its size is measured), the measurements are never
 shuffled; beyond that, distinct locations are joined on their leaf and the answer is
 joined back, with hot leaves and hot locations split.
@@ -27,15 +27,16 @@ from tilelake.functions import UNKNOWN, chord, city_label, grid_cell, is_locatio
 from tilelake.operators.skew import salted_join
 from tilelake.runtime import checkpointed
 
-# A leaf is not cut further once at most this many places are in reach of it.
-LEAF_PLACES = 32
-# The finest grid has cells of about 2 m, the coarsest 256 cells.
+# A cell is a leaf once at most this many places are in reach of it.
+LEAF_PLACES = 16
+# Query cells start at 256 cells and stop at about 600 x 300 m; place cells go down to 2 m.
 FIRST_LEVEL = 4
-LEVEL_STEP = 2
-MAX_LEVEL = 24
+MAX_LEVEL = 16
+MAX_PLACE_LEVEL = 24
+_PLACE_LEVEL_STEP = 2
 # Grids up to this level have at most 65,536 cells: small enough to broadcast always.
 _BROADCAST_LEVEL = 8
-MAX_BROADCAST_BYTES = 128 * 1024 * 1024
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 # Size of one place in a broadcast leaf, without its label.
 _PLACE_BYTES = 80
 # Bounds are compared with this margin, far above rounding errors and about 1 cm.
@@ -82,107 +83,102 @@ def _distinct_places(gazetteer: DataFrame) -> DataFrame:
     ))
 
 
-def _cell_vector(prefix: str, x: Column, y: Column, level: int) -> dict[str, Column]:
-    """Centre of a grid cell as a unit vector."""
-    n = float(1 << level)
-    return _vector_columns(prefix, (y + 0.5) * (180.0 / n) - 90.0, (x + 0.5) * (360.0 / n) - 180.0)
+def _cell_geometry(prefix: str, level: Column, x: Column, y: Column) -> dict[str, Column]:
+    """Centre of a grid cell as a unit vector, and the chord to its farthest point.
 
-
-def _cell_radius(y: Column, level: int) -> Column:
-    """Chord from a cell's centre to its farthest point.
-
-    For cells at most 180 degrees wide that is a corner; the half extents are
-    constants of the level, so only the cosines of three latitudes remain.
+    For cells at most 180 degrees wide that point is a corner. The half extents depend
+    on the level alone and are looked up.
     """
-    n = float(1 << level)
-    south = F.radians(y * (180.0 / n) - 90.0)
-    middle = F.radians((y + 0.5) * (180.0 / n) - 90.0)
-    north = F.radians((y + 1) * (180.0 / n) - 90.0)
-    half_height = math.sin(math.radians(90.0 / n) / 2) ** 2
-    half_width = math.sin(math.radians(180.0 / n) / 2) ** 2
-    widest = F.greatest(F.cos(south), F.cos(north), F.lit(0.0))
-    return 2 * F.sqrt(half_height + F.cos(middle) * widest * half_width)
+    n = F.call_function("shiftleft", F.lit(1), level).cast("double")
+    lat, lon = (y + 0.5) * (180.0 / n) - 90.0, (x + 0.5) * (360.0 / n) - 180.0
+    squared_sine = lambda degrees: F.element_at(
+        F.array(*(F.lit(math.sin(math.radians(degrees / 2.0**i)) ** 2) for i in range(MAX_PLACE_LEVEL + 1))),
+        level + 1,
+    )
+    widest = F.greatest(F.cos(F.radians(lat - 90.0 / n)), F.cos(F.radians(lat + 90.0 / n)), F.lit(0.0))
+    radius = 2 * F.sqrt(squared_sine(45.0) + F.cos(F.radians(lat)) * widest * squared_sine(90.0))
+    return {**_vector_columns(prefix, lat, lon), f"{prefix}_radius": radius}
 
 
 def _occupied_cells(places: DataFrame, level: int, parent_level: int) -> DataFrame:
-    """Cells of one level that hold places: how many, one of them for an upper bound,
-    the cell's centre and radius, and its parent cell."""
+    """Cells of one level that hold places: how many, one of them, the cell's centre
+    and radius, and its parent cell. A cell with a single place shrinks to that place."""
     x, y = grid_cell(F.col("glat"), F.col("glon"), level)
     steps = level - parent_level
     cells = (
         places.groupBy(x.alias("gx"), y.alias("gy"))
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("px", "py", "pz")).alias("known"))
-        .withColumns(
-            {
-                **_cell_vector("c", F.col("gx"), F.col("gy"), level),
-                "c_radius": _cell_radius(F.col("gy"), level),
-                "up_x": F.shiftright("gx", steps),
-                "up_y": F.shiftright("gy", steps),
-            }
-        )
+        .withColumns(_cell_geometry("c", F.lit(level), F.col("gx"), F.col("gy")))
+    )
+    single = F.col("n") == 1
+    cells = cells.select(
+        "gx", "gy", "n", "known",
+        *(F.when(single, F.col("known")[f"p{axis}"]).otherwise(F.col(f"c{axis}")).alias(f"c{axis}") for axis in "xyz"),
+        F.when(single, 0.0).otherwise(F.col("c_radius")).alias("c_radius"),
+        F.shiftright("gx", steps).alias("up_x"),
+        F.shiftright("gy", steps).alias("up_y"),
     )
     return F.broadcast(cells) if level <= _BROADCAST_LEVEL else cells
 
 
-def _cells_in_reach(pairs: DataFrame, level: int, parent_level: int) -> DataFrame:
-    """Cut each query cell of ``pairs`` into its subcells of ``level`` and keep the
-    pairs where the place cell may hold the nearest place of some point of the subcell;
-    ``reach`` counts the places left to a subcell.
+def _cells_in_reach(pairs: DataFrame) -> DataFrame:
+    """Cut each query cell of ``pairs`` into 4^cuts subcells and keep the pairs where
+    the place cell may hold the nearest place of some point of the subcell.
 
-    With m the least distance from the query centre to a known place, every point of
-    the query cell has a place within m + radius, so a nearest place is at most
-    m + 2 * radius from the query centre, and its cell's centre one more cell radius.
+    Let q be the subcell's centre, R its radius, r the known place closest to q, and
+    c and S the place cell's centre and radius. The advantage of r, |p-c| - |p-r|,
+    changes by at most L per unit of way from p = q to another point p of the subcell,
+    with L = 2|c-r| / (|p-c| + |p-r|) (Dunkl and Williams 1964) and never above 2. If it
+    exceeds L * R + S at q, then r is closer than every place of the cell throughout
+    the subcell. Seen from afar L is small, so a distant dense cluster is reduced to
+    the places on its near side without cutting the query cell.
 
     Pairs are shuffled once, before they are multiplied: subcells stay with their
-    parent cell, which also serves the windows.
+    parent cell, which also serves the windows. ``reach`` counts the place cells left
+    to a subcell and ``crowd`` is the most places one of them holds.
     """
-    side = 1 << (level - parent_level)
     partitions = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    per_subcell = Window.partitionBy("cell_x", "cell_y", "sub_x", "sub_y")
+    side = F.call_function("shiftleft", F.lit(1), F.col("cuts"))
+    per_subcell = Window.partitionBy(*_LEAF, "sub_x", "sub_y")
+    query, cell = _xyz("q"), _xyz("c")
+    nearest = tuple(F.col("nearest")["known"][c] for c in ("px", "py", "pz"))
+    nearest_distance = F.col("nearest")["distance"]
     known = tuple(F.col("known")[c] for c in ("px", "py", "pz"))
+    closest_way = F.col("centers") + nearest_distance - 2 * F.col("q_radius")
+    steepness = F.when(
+        closest_way > 0, F.least(F.lit(2.0), 2 * chord(cell, nearest) / closest_way)
+    ).otherwise(2.0)
+    in_reach = (
+        F.col("centers") - nearest_distance <= steepness * F.col("q_radius") + F.col("c_radius") + _MARGIN
+    )
     return (
-        pairs.repartition(partitions, "cell_x", "cell_y")
-        .withColumn("sub", F.explode(F.sequence(F.lit(0), F.lit(side * side - 1))))
+        pairs.repartition(partitions, *_LEAF)
+        .withColumn("sub", F.explode(F.sequence(F.lit(0), side * side - 1)))
         .withColumns(
             {
+                "sub_level": F.col("level") + F.col("cuts"),
                 "sub_x": F.col("cell_x") * side + F.col("sub") % side,
-                "sub_y": F.col("cell_y") * side + F.shiftright("sub", level - parent_level),
+                "sub_y": F.col("cell_y") * side + F.call_function("shiftright", F.col("sub"), F.col("cuts")),
             }
         )
+        .withColumns(_cell_geometry("q", F.col("sub_level"), F.col("sub_x"), F.col("sub_y")))
+        .withColumns({"centers": chord(query, cell), "distance": chord(query, known)})
+        .withColumn("nearest", F.min(F.struct("distance", "known")).over(per_subcell))
+        .filter(in_reach)
         .withColumns(
-            {
-                **_cell_vector("q", F.col("sub_x"), F.col("sub_y"), level),
-                "q_radius": _cell_radius(F.col("sub_y"), level),
-            }
+            {"reach": F.count(F.lit(1)).over(per_subcell), "crowd": F.max("n").over(per_subcell)}
         )
         .select(
-            "cell_x", "cell_y", "sub_x", "sub_y", "gx", "gy", "n", "q_radius", "c_radius",
-            chord(_xyz("q"), known).alias("known"),
-            chord(_xyz("q"), _xyz("c")).alias("centers"),
-        )
-        .withColumn("nearest_known", F.min("known").over(per_subcell))
-        .filter(
-            F.col("centers") <= F.col("nearest_known") + 2 * F.col("q_radius") + F.col("c_radius") + _MARGIN
+            F.col("sub_level").alias("level"), F.col("sub_x").alias("cell_x"), F.col("sub_y").alias("cell_y"),
+            "gx", "gy", "reach", "crowd",
         )
-        .withColumn("reach", F.sum("n").over(per_subcell))
-        .select(F.col("sub_x").alias("cell_x"), F.col("sub_y").alias("cell_y"), "gx", "gy", "reach")
     )
 
 
-def _places_of(pairs: DataFrame, places: DataFrame, level: int) -> DataFrame:
-    x, y = grid_cell(F.col("glat"), F.col("glon"), level)
-    return (
-        pairs.join(places.withColumns({"gx": x, "gy": y}), ["gx", "gy"])
-        .withColumns(
-            {
-                **_cell_vector("q", F.col("cell_x"), F.col("cell_y"), level),
-                "q_radius": _cell_radius(F.col("cell_y"), level),
-            }
-        )
-        .select(
-            F.lit(level).alias("level"), "cell_x", "cell_y", "px", "py", "pz", "label", "named",
-            "q_radius", chord(_xyz("q"), _xyz("p")).alias("distance"),
-        )
+def _places_of(leaves: DataFrame, places: DataFrame, place_level: int) -> DataFrame:
+    x, y = grid_cell(F.col("glat"), F.col("glon"), place_level)
+    return leaves.join(places.withColumns({"gx": x, "gy": y}), ["gx", "gy"]).select(
+        *_LEAF, "px", "py", "pz", "label", "named"
     )
 
 
@@ -191,9 +187,11 @@ def build_place_index(
 ) -> PlaceIndex:
     """Cut the globe into leaf cells and list each leaf's candidate places.
 
-    Query cells and place cells are refined together, level by level: a pair of cells
-    is dropped as soon as the place cell is provably too far, so a dense cluster stays
-    one cell until the query cells near it are small. Depends on the gazetteer only.
+    Place cells are refined level by level until they hold one place each; a query
+    cell is cut in four only while more than ``leaf_places`` place cells are in reach
+    of it. A pair of cells is dropped as soon as the place cell is provably too far.
+    Depends on the gazetteer only; each round is an equi-join of place cells with their
+    parents and one shuffle.
     """
     places = checkpointed(_distinct_places(gazetteer))
     root = F.lit(0).cast("int")
@@ -201,34 +199,27 @@ def build_place_index(
     if places.count() <= leaf_places:
         # few places: the whole globe is a single leaf
         leaves.append(
-            places.select(
-                F.lit(0).alias("level"), root.alias("cell_x"), root.alias("cell_y"),
-                "px", "py", "pz", "label", "named",
-                F.lit(2.0).alias("q_radius"), F.lit(0.0).alias("distance"),
-            )
+            places.select(*(root.alias(c) for c in _LEAF), "px", "py", "pz", "label", "named")
         )
     else:
-        parent, level = 0, min(FIRST_LEVEL, max_level)
+        parent, level = 0, FIRST_LEVEL
         # the root cell with every occupied first-level cell: at most 4^4 pairs
-        pairs = _occupied_cells(places, level, parent).withColumns({"cell_x": root, "cell_y": root})
+        pairs = _occupied_cells(places, level, parent).withColumns(
+            {**{c: root for c in _LEAF}, "cuts": F.lit(min(FIRST_LEVEL, max_level))}
+        )
         while True:
-            reached = checkpointed(_cells_in_reach(pairs, level, parent))
-            is_leaf = F.lit(True) if level >= max_level else F.col("reach") <= leaf_places
+            reached = checkpointed(_cells_in_reach(pairs))
+            cut = (F.col("reach") > leaf_places) & (F.col("level") < max_level)
+            is_leaf = ~cut & ((F.col("crowd") == 1) | F.lit(level >= MAX_PLACE_LEVEL))
             leaves.append(_places_of(reached.filter(is_leaf), places, level))
             open_pairs = reached.filter(~is_leaf).select(
-                "cell_x", "cell_y", F.col("gx").alias("up_x"), F.col("gy").alias("up_y")
+                *_LEAF, F.col("gx").alias("up_x"), F.col("gy").alias("up_y"), cut.cast("int").alias("cuts")
             )
-            if level >= max_level or open_pairs.isEmpty():
+            if open_pairs.isEmpty():
                 break
-            parent, level = level, min(level + LEVEL_STEP, max_level)
+            parent, level = level, min(level + _PLACE_LEVEL_STEP, MAX_PLACE_LEVEL)
             pairs = open_pairs.join(_occupied_cells(places, level, parent), ["up_x", "up_y"])
-    per_leaf = Window.partitionBy(*_LEAF)
-    candidates = checkpointed(
-        reduce(DataFrame.unionByName, leaves)
-        .withColumn("nearest", F.min("distance").over(per_leaf))
-        .filter(F.col("distance") <= F.col("nearest") + 2 * F.col("q_radius") + _MARGIN)
-        .select(*_LEAF, "px", "py", "pz", "label", "named")
-    )
+    candidates = checkpointed(reduce(DataFrame.unionByName, leaves))
     size = candidates.agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.octet_length("label")).alias("label_bytes"),
@@ -311,7 +302,16 @@ def _with_cities_shuffled(df: DataFrame, index: PlaceIndex, shares: int | None)
             F.min(F.struct(_tie_distance(chord(_xyz("q"), _xyz("p"))), "label", "named")).alias("match")
         )
     )
-    joined = salted_join(df, nearest, location, rows_per_location, "left", shares)
+    # rows without a valid location join on null, which is dealt out and never matches
+    key = [f"__{c}" for c in location]
+    joined = salted_join(
+        df.withColumns({k: F.when(valid, F.col(c)) for k, c in zip(key, location)}),
+        nearest.withColumnsRenamed(dict(zip(location, key))),
+        key,
+        rows_per_location.withColumnsRenamed(dict(zip(location, key))),
+        "left",
+        shares,
+    )
     return joined.select(*df.columns, *(c.alias(n) for n, c in _city_columns(F.col("match")).items()))
 
 

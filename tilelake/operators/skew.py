@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilelake.runtime import checkpointed
-
 _SALT = "__salt"
 _COPIES = "__copies"
 
@@ -24,6 +22,7 @@ def salted_join(
     """Equi-join ``left`` with ``right``, splitting the hot keys of ``left``.
 
     ``key_counts`` holds ``keys`` and ``rows``: how often each key occurs in ``left``.
+    It is read more than once, so it should come from a materialised table.
     A key with more than 1/shares of all rows is hot, so fewer than ``shares`` keys
     are, which bounds the broadcast list of hot keys whatever the data. Rows of a hot
     key are dealt over several salts and its ``right`` rows copied to each of them
@@ -33,7 +32,6 @@ def salted_join(
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
     shares = shares or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key_counts = checkpointed(key_counts)
     total = key_counts.agg(F.sum("rows")).first()[0] or 0
     limit = max(total / shares, 1.0)
     hot = key_counts.filter(F.col("rows") > limit).select(

@@ -14,7 +14,7 @@ from tilelake.operators.analytics import silver_measures
 from tilelake.operators.geocode import MAX_BROADCAST_BYTES, PlaceIndex, build_place_index, with_cities
 from tilelake.operators.layout import add_partition_columns
 from tilelake.operators.quality import clean, has_location
-from tilelake.schemas import PARTITION_COLUMNS, SILVER, validate_schema
+from tilelake.schemas import PARTITION_COLUMNS, SILVER
 from tilelake.sinks.tables import rebalanced, write_silver
 from tilelake.sources.bronze import require_rows, scan_bronze
 
@@ -40,7 +40,8 @@ class RunStatistics:
 
 def locate(bronze: DataFrame, processed_at: dt.datetime | None = None, projection: str = "linear") -> DataFrame:
     """Clean rows whose quadkey has a cell, with the cell's centre."""
-    return with_centers(clean(bronze.filter(has_location()), processed_at), projection=projection)
+    rows = clean(bronze.filter(has_location()), processed_at)
+    return with_centers(rows, projection=projection, checked=True)
 
 
 def to_silver(
@@ -85,7 +86,6 @@ def bronze_to_silver(
     """
     started = time.monotonic()
     bronze = scan_bronze(spark, bronze_path)
-    validate_schema(bronze)
     require_rows(bronze, bronze_path)
     if index is None and gazetteer is not None:
         index = build_place_index(gazetteer)

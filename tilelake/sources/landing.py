@@ -20,13 +20,19 @@ def tile_quarter(tile: Column) -> Column:
 
 
 def land_bronze(
-    spark: SparkSession, source: str, target: str, skip_unreadable: bool = False, mode: str = "overwrite"
+    spark: SparkSession,
+    source: str,
+    target: str,
+    skip_unreadable: bool = False,
+    mode: str = "overwrite",
+    rebalance: bool = True,
 ) -> DataFrame:
     """Copy all parquet files below ``source`` into the quarter-partitioned table
     ``target`` and return the manifest: rows landed per source file.
 
     ``source_file`` keeps each row's origin. ``skip_unreadable`` leaves out damaged
-    files instead of failing; the manifest shows which files arrived.
+    files instead of failing; the manifest shows which files arrived. Files that already
+    hold one quarter each can be landed without a shuffle: ``rebalance=False``.
     """
     raw = (
         spark.read.option("recursiveFileLookup", "true")
@@ -35,5 +41,5 @@ def land_bronze(
         .parquet(source)
     )
     landed = raw.select("*", F.col("_metadata.file_path").alias("source_file"), tile_quarter(F.col("tile")).alias("quarter"))
-    write_table(landed, target, partitions=["quarter"], mode=mode, fmt="parquet")
+    write_table(landed, target, partitions=["quarter"], mode=mode, fmt="parquet", rebalance=rebalance)
     return spark.read.parquet(target).groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
