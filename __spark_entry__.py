@@ -58,7 +58,7 @@ def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable):
 def _bronze_path(spark, sf_dir) -> str:
     def make():
         path = new_table_path(spark, "bronze")
-        fixtures.land_tiles(spark, sf_dir, path)
+        fixtures.tiles(spark, sf_dir).write.parquet(path)
         return path
 
     return _once(spark, sf_dir, "bronze", make)

@@ -49,8 +49,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze tiles with every kind of dirty value, one per line item."""
-    return spark.sql(TILES_SQL.format(lineitem="{lineitem}", **SPARK_DIALECT), lineitem=table(spark, sf_dir, "lineitem"))
+    """Bronze tiles with every kind of dirty value, one per line item.
+
+    A source file with fewer splits than cores is dealt out first.
+    """
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_linestatus", "l_shipdate"
+    )
+    cores = spark.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() < cores:
+        lines = lines.repartition(cores)
+    return spark.sql(TILES_SQL.format(lineitem="{lineitem}", **SPARK_DIALECT), lineitem=lines)
 
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,16 +67,6 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(GAZETTEER_SQL, **{n: table(spark, sf_dir, n) for n in ("supplier", "nation", "region")})
 
 
-def land_tiles(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
-    """Write the tiles as bronze parquet files, one per core if the source table has
-    too few splits to keep the cores busy."""
-    df = tiles(spark, sf_dir)
-    cores = spark.sparkContext.defaultParallelism
-    splits = table(spark, sf_dir, "lineitem").rdd.getNumPartitions()
-    (df.repartition(cores) if splits < cores else df).write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def boxes(gazetteer: DataFrame) -> DataFrame:
     """A bounding box of 6 by 8 degrees around each place; some cross the 180th meridian."""
     west, east = F.col("glon") - 4.0, F.col("glon") + 4.0

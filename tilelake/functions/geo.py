@@ -96,11 +96,13 @@ def with_centers(
     y = F.when(is_long, binary("123", "011")).otherwise(F.col("__y"))
     cells = F.call_function("shiftleft", F.lit(1).cast("long"), F.least("__length", F.lit(_MAX_DIGITS)))
     cells = cells.cast("double")
-    return out.select(
-        *columns,
+    center = F.struct(
         F.coalesce(_row_latitude(y, cells, projection), F.lit(0.0)).alias("latitude"),
         F.coalesce((x + 0.5) * (2 * LON_LIMIT) / cells - LON_LIMIT, F.lit(0.0)).alias("longitude"),
     )
+    # A generator keeps filters on the coordinates above it; pushed through the steps
+    # they would evaluate each step's input twice, 64 times in all.
+    return out.select(*columns, F.inline(F.array(center)))
 
 
 def is_location(lat: Column, lon: Column) -> Column:

@@ -18,7 +18,7 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 def _box_cells(boxes: DataFrame) -> DataFrame:
     """Each box with the cells it touches, on the finest level whose cells are at least
-    as large as the box: four cells at most. Boxes over the 180th meridian
+    half as wide and high as the box: nine cells at most. Boxes over the 180th meridian
     (lon_min > lon_max) are cut in two there."""
     whole = F.struct(F.col("lon_min").alias("west"), F.col("lon_max").alias("east"))
     eastern = F.struct(F.col("lon_min").alias("west"), F.lit(180.0).alias("east"))
@@ -31,7 +31,7 @@ def _box_cells(boxes: DataFrame) -> DataFrame:
     share = F.greatest(
         (F.col("east") - F.col("west")) / 360.0, (F.col("lat_max") - F.col("lat_min")) / 180.0, F.lit(finest)
     )
-    leveled = pieces.withColumn("level", F.floor(-F.log2(share)).cast("int"))
+    leveled = pieces.withColumn("level", (F.floor(-F.log2(share)) + 1).cast("int"))
     n = F.call_function("shiftleft", F.lit(1), F.col("level"))
     index = lambda value, offset, extent: F.least(
         F.greatest(F.floor((value + offset) / extent * n), F.lit(0)), n - 1
@@ -51,8 +51,10 @@ def tiles_in_boxes(
 ) -> DataFrame:
     """Tiles and tests inside each box, borders included; boxes without tiles are left out.
 
-    ``boxes`` has name, lat_min, lat_max, lon_min, lon_max. Tiles are summed up per
-    location first, so copies of a tile meet the boxes only once.
+    ``boxes`` has name, lat_min, lat_max, lon_min, lon_max. While the boxes are small
+    enough to broadcast, tiles meet them where they are and only sums per box are
+    shuffled. Beyond that tiles are summed up per location first, so that copies of a
+    tile meet the boxes once, and crowded cells are split.
     """
     location = ["latitude", "longitude"]
     cells = _box_cells(boxes)
@@ -61,11 +63,6 @@ def tiles_in_boxes(
         F.sum(F.octet_length("name")).alias("name_bytes"),
         F.array_sort(F.collect_set("level")).alias("levels"),
     ).first()
-    per_location = (
-        tiles.filter(is_location(F.col("latitude"), F.col("longitude")))
-        .groupBy(*location)
-        .agg(F.count(F.lit(1)).alias("tile_count"), F.sum("tests").alias("total_tests"))
-    )
     keys = []
     for level in size["levels"]:
         x, y = grid_cell(F.col("latitude"), F.col("longitude"), level)
@@ -73,9 +70,14 @@ def tiles_in_boxes(
     if not keys:
         keys.append(F.struct(F.lit(-1).alias("level"), F.lit(0).alias("cell_x"), F.lit(0).alias("cell_y")))
     probe = F.inline(F.array(*keys))
+    located = tiles.filter(is_location(F.col("latitude"), F.col("longitude")))
     if size["cells"] * _BOX_BYTES + (size["name_bytes"] or 0) <= max_broadcast_bytes:
-        met = per_location.select("*", probe).join(F.broadcast(cells), _CELL)
+        rows = located.select(*location, F.lit(1).cast("long").alias("tile_count"), F.col("tests").alias("total_tests"))
+        met = rows.select("*", probe).join(F.broadcast(cells), _CELL)
     else:
+        per_location = located.groupBy(*location).agg(
+            F.count(F.lit(1)).alias("tile_count"), F.sum("tests").alias("total_tests")
+        )
         probes = checkpointed(per_location).select("*", probe)
         rows_per_cell = probes.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("rows"))
         met = salted_join(probes, cells, _CELL, rows_per_cell, "inner", shares)

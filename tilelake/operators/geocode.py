@@ -15,7 +15,6 @@ alphabetically first label.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -34,6 +33,8 @@ FIRST_LEVEL = 4
 MAX_LEVEL = 16
 MAX_PLACE_LEVEL = 24
 _PLACE_LEVEL_STEP = 2
+# Cells with at most this many places are refined to single places in one round.
+_SMALL_CROWD = 50_000
 # Grids up to this level have at most 65,536 cells: small enough to broadcast always.
 _BROADCAST_LEVEL = 8
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
@@ -86,15 +87,11 @@ def _distinct_places(gazetteer: DataFrame) -> DataFrame:
 def _cell_geometry(prefix: str, level: Column, x: Column, y: Column) -> dict[str, Column]:
     """Centre of a grid cell as a unit vector, and the chord to its farthest point.
 
-    For cells at most 180 degrees wide that point is a corner. The half extents depend
-    on the level alone and are looked up.
+    For cells at most 180 degrees wide that point is a corner.
     """
     n = F.call_function("shiftleft", F.lit(1), level).cast("double")
     lat, lon = (y + 0.5) * (180.0 / n) - 90.0, (x + 0.5) * (360.0 / n) - 180.0
-    squared_sine = lambda degrees: F.element_at(
-        F.array(*(F.lit(math.sin(math.radians(degrees / 2.0**i)) ** 2) for i in range(MAX_PLACE_LEVEL + 1))),
-        level + 1,
-    )
+    squared_sine = lambda degrees: F.pow(F.sin(F.radians(F.lit(degrees) / n)), 2)
     widest = F.greatest(F.cos(F.radians(lat - 90.0 / n)), F.cos(F.radians(lat + 90.0 / n)), F.lit(0.0))
     radius = 2 * F.sqrt(squared_sine(45.0) + F.cos(F.radians(lat)) * widest * squared_sine(90.0))
     return {**_vector_columns(prefix, lat, lon), f"{prefix}_radius": radius}
@@ -188,8 +185,7 @@ def build_place_index(
     """Cut the globe into leaf cells and list each leaf's candidate places.
 
     Place cells are refined level by level until they hold one place each; a query
-    cell is cut in four only while more than ``leaf_places`` place cells are in reach
-    of it. A pair of cells is dropped as soon as the place cell is provably too far.
+    cell is cut only while more than ``leaf_places`` place cells are in reach of it. A pair of cells is dropped as soon as the place cell is provably too far.
     Depends on the gazetteer only; each round is an equi-join of place cells with their
     parents and one shuffle.
     """
@@ -209,15 +205,20 @@ def build_place_index(
         )
         while True:
             reached = checkpointed(_cells_in_reach(pairs))
-            cut = (F.col("reach") > leaf_places) & (F.col("level") < max_level)
-            is_leaf = ~cut & ((F.col("crowd") == 1) | F.lit(level >= MAX_PLACE_LEVEL))
+            cuts = F.least(
+                F.when(F.col("reach") > 4 * leaf_places, 2).when(F.col("reach") > leaf_places, 1).otherwise(0),
+                F.lit(max_level) - F.col("level"),
+            )
+            is_leaf = (cuts == 0) & ((F.col("crowd") == 1) | F.lit(level >= MAX_PLACE_LEVEL))
             leaves.append(_places_of(reached.filter(is_leaf), places, level))
             open_pairs = reached.filter(~is_leaf).select(
-                *_LEAF, F.col("gx").alias("up_x"), F.col("gy").alias("up_y"), cut.cast("int").alias("cuts")
+                *_LEAF, F.col("gx").alias("up_x"), F.col("gy").alias("up_y"), "crowd", cuts.alias("cuts")
             )
-            if open_pairs.isEmpty():
+            crowd = open_pairs.agg(F.max("crowd")).first()[0]
+            if crowd is None:
                 break
-            parent, level = level, min(level + _PLACE_LEVEL_STEP, MAX_PLACE_LEVEL)
+            step = _PLACE_LEVEL_STEP if crowd > _SMALL_CROWD else MAX_PLACE_LEVEL
+            parent, level = level, min(level + step, MAX_PLACE_LEVEL)
             pairs = open_pairs.join(_occupied_cells(places, level, parent), ["up_x", "up_y"])
     candidates = checkpointed(reduce(DataFrame.unionByName, leaves))
     size = candidates.agg(
