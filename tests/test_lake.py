@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -209,7 +210,9 @@ def test_silver_plan_is_one_narrow_pass(spark, bronze_path, index):
 def test_filters_on_coordinates_stay_above_the_bit_steps(spark, bronze_path):
     located = locate(scan_bronze(spark, bronze_path), STAMP).filter("latitude > 0 AND tests > 1")
     plan = located._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("conv(") == 3 and "GreaterThan(tests,1)" in plan
+    assert plan.count("conv(") == 3
+    above, below = plan.split("Generate inline", 1)
+    assert "Filter (latitude" in above and re.search(r"Filter .*tests#\d+L > 1", below)
 
 
 # --- sinks -----------------------------------------------------------------------
@@ -283,13 +286,8 @@ def test_incremental_equals_batch(spark, bronze_path, index, tmp_path, limit):
 
 
 def test_shared_folder_follows_the_session(spark):
-    before = shared_dir(spark)
-    spark.conf.set("spark.checkpoint.dir", "/some/shared/folder/")
-    try:
-        assert shared_dir(spark) == "/some/shared/folder"
-        assert new_table_path(spark, "x").startswith("/some/shared/folder/tables/x-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    assert shared_dir(spark).startswith(before.split("/tables")[0])
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared_dir(spark) == (configured or spark.sparkContext.getCheckpointDir()).rstrip("/")
+    assert spark.sparkContext.getCheckpointDir()
     assert new_table_path(spark, "x") != new_table_path(spark, "x")
     assert new_table_path(spark, "x").startswith(shared_dir(spark))

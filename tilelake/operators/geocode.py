@@ -34,7 +34,7 @@ MAX_LEVEL = 16
 MAX_PLACE_LEVEL = 24
 _PLACE_LEVEL_STEP = 2
 # Cells with at most this many places are refined to single places in one round.
-_SMALL_CROWD = 50_000
+_SMALL_CROWD = 8192
 # Grids up to this level have at most 65,536 cells: small enough to broadcast always.
 _BROADCAST_LEVEL = 8
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
@@ -84,17 +84,29 @@ def _distinct_places(gazetteer: DataFrame) -> DataFrame:
     ))
 
 
-def _cell_geometry(prefix: str, level: Column, x: Column, y: Column) -> dict[str, Column]:
+def _distance(a: str, b: str) -> Column:
+    """Chord between the vectors in columns ``ax, ay, az`` and ``bx, by, bz``."""
+    squares = (f"({a}{axis} - {b}{axis}) * ({a}{axis} - {b}{axis})" for axis in "xyz")
+    return F.expr(f"sqrt({' + '.join(squares)})")
+
+
+def _cell_geometry(prefix: str, level: str, x: str, y: str) -> dict[str, Column]:
     """Centre of a grid cell as a unit vector, and the chord to its farthest point.
 
     For cells at most 180 degrees wide that point is a corner.
     """
-    n = F.call_function("shiftleft", F.lit(1), level).cast("double")
-    lat, lon = (y + 0.5) * (180.0 / n) - 90.0, (x + 0.5) * (360.0 / n) - 180.0
-    squared_sine = lambda degrees: F.pow(F.sin(F.radians(F.lit(degrees) / n)), 2)
-    widest = F.greatest(F.cos(F.radians(lat - 90.0 / n)), F.cos(F.radians(lat + 90.0 / n)), F.lit(0.0))
-    radius = 2 * F.sqrt(squared_sine(45.0) + F.cos(F.radians(lat)) * widest * squared_sine(90.0))
-    return {**_vector_columns(prefix, lat, lon), f"{prefix}_radius": radius}
+    n = f"double(shiftleft(1, {level}))"
+    lat, lon = f"radians(({y} + 0.5D) * 180D / {n} - 90D)", f"radians(({x} + 0.5D) * 360D / {n} - 180D)"
+    # half the height of the cell; half its width is twice that
+    half = f"radians(90D / {n})"
+    widest = f"greatest(cos({lat} - {half}), cos({lat} + {half}), 0D)"
+    height, width = f"sin({half} / 2D) * sin({half} / 2D)", f"sin({half}) * sin({half})"
+    return {
+        f"{prefix}x": F.expr(f"cos({lat}) * cos({lon})"),
+        f"{prefix}y": F.expr(f"cos({lat}) * sin({lon})"),
+        f"{prefix}z": F.expr(f"sin({lat})"),
+        f"{prefix}_radius": F.expr(f"2D * sqrt({height} + cos({lat}) * {widest} * {width})"),
+    }
 
 
 def _occupied_cells(places: DataFrame, level: int, parent_level: int) -> DataFrame:
@@ -105,15 +117,14 @@ def _occupied_cells(places: DataFrame, level: int, parent_level: int) -> DataFra
     cells = (
         places.groupBy(x.alias("gx"), y.alias("gy"))
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("px", "py", "pz")).alias("known"))
-        .withColumns(_cell_geometry("c", F.lit(level), F.col("gx"), F.col("gy")))
-    )
-    single = F.col("n") == 1
-    cells = cells.select(
-        "gx", "gy", "n", "known",
-        *(F.when(single, F.col("known")[f"p{axis}"]).otherwise(F.col(f"c{axis}")).alias(f"c{axis}") for axis in "xyz"),
-        F.when(single, 0.0).otherwise(F.col("c_radius")).alias("c_radius"),
-        F.shiftright("gx", steps).alias("up_x"),
-        F.shiftright("gy", steps).alias("up_y"),
+        .withColumns(_cell_geometry("c", str(level), "gx", "gy"))
+        .selectExpr(
+            "gx", "gy", "n", "known",
+            *(f"if(n = 1, known.p{axis}, c{axis}) AS c{axis}" for axis in "xyz"),
+            "if(n = 1, 0D, c_radius) AS c_radius",
+            f"shiftright(gx, {steps}) AS up_x",
+            f"shiftright(gy, {steps}) AS up_y",
+        )
     )
     return F.broadcast(cells) if level <= _BROADCAST_LEVEL else cells
 
@@ -135,39 +146,30 @@ def _cells_in_reach(pairs: DataFrame) -> DataFrame:
     to a subcell and ``crowd`` is the most places one of them holds.
     """
     partitions = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    side = F.call_function("shiftleft", F.lit(1), F.col("cuts"))
     per_subcell = Window.partitionBy(*_LEAF, "sub_x", "sub_y")
-    query, cell = _xyz("q"), _xyz("c")
-    nearest = tuple(F.col("nearest")["known"][c] for c in ("px", "py", "pz"))
-    nearest_distance = F.col("nearest")["distance"]
-    known = tuple(F.col("known")[c] for c in ("px", "py", "pz"))
-    closest_way = F.col("centers") + nearest_distance - 2 * F.col("q_radius")
-    steepness = F.when(
-        closest_way > 0, F.least(F.lit(2.0), 2 * chord(cell, nearest) / closest_way)
-    ).otherwise(2.0)
-    in_reach = (
-        F.col("centers") - nearest_distance <= steepness * F.col("q_radius") + F.col("c_radius") + _MARGIN
-    )
-    return (
+    distances = (
         pairs.repartition(partitions, *_LEAF)
-        .withColumn("sub", F.explode(F.sequence(F.lit(0), side * side - 1)))
-        .withColumns(
-            {
-                "sub_level": F.col("level") + F.col("cuts"),
-                "sub_x": F.col("cell_x") * side + F.col("sub") % side,
-                "sub_y": F.col("cell_y") * side + F.call_function("shiftright", F.col("sub"), F.col("cuts")),
-            }
+        .selectExpr("*", "explode(sequence(0, shiftleft(1, 2 * cuts) - 1)) AS sub")
+        .selectExpr(
+            "*",
+            "level + cuts AS sub_level",
+            "shiftleft(cell_x, cuts) + sub % shiftleft(1, cuts) AS sub_x",
+            "shiftleft(cell_y, cuts) + shiftright(sub, cuts) AS sub_y",
         )
-        .withColumns(_cell_geometry("q", F.col("sub_level"), F.col("sub_x"), F.col("sub_y")))
-        .withColumns({"centers": chord(query, cell), "distance": chord(query, known)})
+        .withColumns(_cell_geometry("q", "sub_level", "sub_x", "sub_y"))
+        .withColumns({"center_distance": _distance("q", "c"), "distance": _distance("q", "known.p")})
         .withColumn("nearest", F.min(F.struct("distance", "known")).over(per_subcell))
-        .filter(in_reach)
+    )
+    closest_way = "(center_distance + nearest.distance - 2D * q_radius)"
+    return (
+        distances.withColumn("apart", _distance("c", "nearest.known.p"))
+        .withColumn("steepness", F.expr(f"if({closest_way} > 0D, least(2D, 2D * apart / {closest_way}), 2D)"))
+        .filter(f"center_distance - nearest.distance <= steepness * q_radius + c_radius + {_MARGIN}D")
         .withColumns(
             {"reach": F.count(F.lit(1)).over(per_subcell), "crowd": F.max("n").over(per_subcell)}
         )
-        .select(
-            F.col("sub_level").alias("level"), F.col("sub_x").alias("cell_x"), F.col("sub_y").alias("cell_y"),
-            "gx", "gy", "reach", "crowd",
+        .selectExpr(
+            "sub_level AS level", "sub_x AS cell_x", "sub_y AS cell_y", "gx", "gy", "reach", "crowd"
         )
     )
 
@@ -300,7 +302,7 @@ def _with_cities_shuffled(df: DataFrame, index: PlaceIndex, shares: int | None)
         .withColumns(_query_vector())
         .groupBy(*location)
         .agg(
-            F.min(F.struct(_tie_distance(chord(_xyz("q"), _xyz("p"))), "label", "named")).alias("match")
+            F.min(F.struct(_tie_distance(_distance("q", "p")), "label", "named")).alias("match")
         )
     )
     # rows without a valid location join on null, which is dealt out and never matches
