@@ -212,9 +212,12 @@ def q_city_unavailable(spark, sf_dir):
     return to_silver(_bronze(spark, sf_dir), None, PROCESSED_AT).select("quadkey", "city", "city_lookup_success")
 
 
-def q_tiles_in_box(spark, sf_dir):
-    located = locate(_bronze(spark, sf_dir), PROCESSED_AT)
-    return boxes.tiles_in_boxes(located, fixtures.boxes(fixtures.gazetteer(spark, sf_dir)))
+def q_tiles_in_box(**how):
+    def run(spark, sf_dir):
+        located = locate(_bronze(spark, sf_dir), PROCESSED_AT)
+        return boxes.tiles_in_boxes(located, fixtures.boxes(fixtures.gazetteer(spark, sf_dir)), **how)
+
+    return run
 
 
 # --- analytics -------------------------------------------------------------------
@@ -352,7 +355,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "nearest_city": q_nearest_city,
         "nearest_city_shuffled": q_nearest_city_shuffled,
         "city_unavailable": q_city_unavailable,
-        "tiles_in_box": q_tiles_in_box,
+        "tiles_in_box": q_tiles_in_box(),
+        "tiles_in_box_shuffled": q_tiles_in_box(max_broadcast_bytes=0),
         "city_stats": _city_stats,
         "city_stats_sample": q_city_stats_sample,
         "city_dict_agg": q_city_dict_agg,

@@ -140,6 +140,15 @@ def statements() -> dict[str, str]:
         _SILVER
         + """SELECT city, round(avg(download_mbps), 6) AS avg_download_mbps, count(quadkey) AS tile_count
   FROM silver GROUP BY city"""
+    )
+    in_box = (
+        _with(_TILES, _GAZETTEER, _CLEANED, _LOCATED)
+        + """SELECT name, count(*) AS tile_count, CAST(sum(tests) AS BIGINT) AS total_tests
+  FROM located JOIN gazetteer ON latitude BETWEEN glat - 3e0 AND glat + 3e0
+  AND (longitude BETWEEN glon - 4e0 AND glon + 4e0
+       OR (glon - 4e0 < -180e0 AND longitude >= glon - 4e0 + 360e0)
+       OR (glon + 4e0 > 180e0 AND longitude <= glon + 4e0 - 360e0))
+  GROUP BY name"""
     )
     union = " UNION ALL ".join
     return {
@@ -195,13 +204,8 @@ def statements() -> dict[str, str]:
         "city_unavailable": _with(_TILES)
         + f"""SELECT trim(quadkey) AS quadkey, 'Unknown' AS city, false AS city_lookup_success
   FROM tiles WHERE {_CLEAN} AND {_HAS_LOCATION}""",
-        "tiles_in_box": _with(_TILES, _GAZETTEER, _CLEANED, _LOCATED)
-        + """SELECT name, count(*) AS tile_count, CAST(sum(tests) AS BIGINT) AS total_tests
-  FROM located JOIN gazetteer ON latitude BETWEEN glat - 3e0 AND glat + 3e0
-  AND (longitude BETWEEN glon - 4e0 AND glon + 4e0
-       OR (glon - 4e0 < -180e0 AND longitude >= glon - 4e0 + 360e0)
-       OR (glon + 4e0 > 180e0 AND longitude <= glon + 4e0 - 360e0))
-  GROUP BY name""",
+        "tiles_in_box": in_box,
+        "tiles_in_box_shuffled": in_box,
         "city_stats": stats,
         "city_stats_sample": _with(
             *_SILVER_PARTS,

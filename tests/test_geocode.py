@@ -178,6 +178,14 @@ def test_place_without_a_name_is_no_success(spark):
     assert [(r.city, r.city_lookup_success) for r in rows] == [("Unknown, , ", False), ("n, , CC", True)]
 
 
+@pytest.mark.parametrize("how", [{}, {"max_broadcast_bytes": 0, "shares": 5}])
+def test_columns_of_any_name_pass_through(spark, how):
+    index = build_place_index(gazetteer(spark, [1.0, 50.0], [1.0, 50.0], ["a", "b"]))
+    df = locations(spark, [2.0], [2.0]).selectExpr("*", "7 AS level", "8 AS cell_x", "9 AS label", "1 AS qx", "2 AS px")
+    row = with_cities(df, index, **how).first()
+    assert (row.level, row.cell_x, row.label, row.qx, row.px, row.city) == (7, 8, 9, 1, 2, "a, a, XX")
+
+
 @pytest.mark.parametrize("how", [{}, {"max_broadcast_bytes": 0, "shares": 5}])
 def test_one_location_with_most_of_the_rows(spark, how):
     glat, glon = sphere(200, 2)

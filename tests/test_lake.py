@@ -70,8 +70,8 @@ def same_rows(a, b):
 
 
 def test_bronze_paths():
-    assert resolve_bronze_path("s3a://bronze/pump") == "s3a://bronze/pump/"
-    assert resolve_bronze_path("s3a://bronze/pump/", "2019-q1") == "s3a://bronze/pump/2019-q1/"
+    assert resolve_bronze_path("s3a://lake/bronze") == "s3a://lake/bronze/"
+    assert resolve_bronze_path("s3a://lake/bronze/", "2019-q1") == "s3a://lake/bronze/2019-q1/"
 
 
 def test_scan_bronze(spark, bronze_path, tmp_path):

@@ -240,36 +240,41 @@ def _tie_distance(distance: Column) -> Column:
     return F.floor(distance * _TIE_SCALE)
 
 
-def _leaf_keys(levels: tuple[int, ...]) -> Column:
+def _leaf_keys(levels: tuple[int, ...], prefix: str = "") -> Column:
     """The location's cell on every level of the index; exactly one of them is a leaf."""
     cells = []
     for level in levels:
         x, y = grid_cell(F.col("latitude"), F.col("longitude"), level)
-        cells.append(F.struct(F.lit(level).alias("level"), x.alias("cell_x"), y.alias("cell_y")))
+        values = (F.lit(level), x, y)
+        cells.append(F.struct(*(v.alias(prefix + c) for v, c in zip(values, _LEAF))))
     return F.array(*cells)
 
 
-def _query_vector() -> dict[str, Column]:
+def _query_vector(prefix: str) -> dict[str, Column]:
     lat, lon = F.col("latitude"), F.col("longitude")
     valid = is_location(lat, lon)
-    return {n: F.when(valid, c) for n, c in _vector_columns("q", lat, lon).items()}
+    return {n: F.when(valid, c) for n, c in _vector_columns(prefix, lat, lon).items()}
 
 
-def _city_columns(match: Column) -> dict[str, Column]:
-    return {
-        "city": F.coalesce(match["label"], F.lit(UNKNOWN)),
-        "city_lookup_success": F.coalesce(match["named"], F.lit(False)),
-    }
+def _with_match(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` and the city columns for the place in ``__match``, null if there is none."""
+    match = F.col("__match")
+    return df.select(
+        *columns,
+        F.coalesce(match["label"], F.lit(UNKNOWN)).alias("city"),
+        F.coalesce(match["named"], F.lit(False)).alias("city_lookup_success"),
+    )
 
 
 def _with_cities_broadcast(df: DataFrame, index: PlaceIndex) -> DataFrame:
-    leaves = index.places.groupBy(*_LEAF).agg(
-        F.collect_list(F.struct("px", "py", "pz", "label", "named")).alias("leaf_places")
+    key = [f"__{c}" for c in _LEAF]
+    leaves = index.places.groupBy(*(F.col(c).alias(k) for c, k in zip(_LEAF, key))).agg(
+        F.collect_list(F.struct("px", "py", "pz", "label", "named")).alias("__places")
     )
-    query = _xyz("q")
+    query = _xyz("__q")
     nearest = F.array_min(
         F.transform(
-            "leaf_places",
+            "__places",
             lambda p: F.struct(
                 _tie_distance(chord(query, (p["px"], p["py"], p["pz"]))).alias("distance"),
                 p["label"].alias("label"),
@@ -277,16 +282,15 @@ def _with_cities_broadcast(df: DataFrame, index: PlaceIndex) -> DataFrame:
             ),
         )
     )
-    match = F.when(F.col("qx").isNotNull(), nearest)
     # The leaves tile the globe and null coordinates are given a cell as well, so the
     # inner join keeps each row exactly once.
-    return (
-        df.select("*", F.inline(_leaf_keys(index.levels)))
-        .join(F.broadcast(leaves), _LEAF)
-        .withColumns(_query_vector())
-        .withColumn("match", match)
-        .select(*df.columns, *(c.alias(n) for n, c in _city_columns(F.col("match")).items()))
+    looked_up = (
+        df.select("*", F.inline(_leaf_keys(index.levels, "__")))
+        .join(F.broadcast(leaves), key)
+        .withColumns(_query_vector("__q"))
+        .withColumn("__match", F.when(F.col("__qx").isNotNull(), nearest))
     )
+    return _with_match(looked_up, df.columns)
 
 
 def _with_cities_shuffled(df: DataFrame, index: PlaceIndex, shares: int | None) -> DataFrame:
@@ -299,11 +303,9 @@ def _with_cities_shuffled(df: DataFrame, index: PlaceIndex, shares: int | None)
     locations_per_leaf = probes.groupBy(*_LEAF).agg(F.count(F.lit(1)).alias("rows"))
     nearest = (
         salted_join(probes, index.places, _LEAF, locations_per_leaf, "inner", shares)
-        .withColumns(_query_vector())
+        .withColumns(_query_vector("q"))
         .groupBy(*location)
-        .agg(
-            F.min(F.struct(_tie_distance(_distance("q", "p")), "label", "named")).alias("match")
-        )
+        .agg(F.min(F.struct(_tie_distance(_distance("q", "p")), "label", "named")).alias("__match"))
     )
     # rows without a valid location join on null, which is dealt out and never matches
     key = [f"__{c}" for c in location]
@@ -315,7 +317,7 @@ def _with_cities_shuffled(df: DataFrame, index: PlaceIndex, shares: int | None)
         "left",
         shares,
     )
-    return joined.select(*df.columns, *(c.alias(n) for n, c in _city_columns(F.col("match")).items()))
+    return _with_match(joined, df.columns)
 
 
 def without_cities(df: DataFrame) -> DataFrame:
