@@ -250,9 +250,9 @@ def statements() -> dict[str, str]:
         "gold_city_month": _SILVER
         + """SELECT city, partition_year, partition_month, count(*) AS tile_count,
   CAST(sum(tests) AS BIGINT) AS total_tests, CAST(sum(devices) AS BIGINT) AS total_devices,
-  round(sum(download_mbps * tests) / sum(tests), 6) AS avg_download_mbps,
-  round(sum(upload_mbps * tests) / sum(tests), 6) AS avg_upload_mbps,
-  round(sum(avg_lat_ms * tests) / CAST(sum(tests) AS DOUBLE), 6) AS avg_latency_ms
+  sum(download_mbps * tests) / CAST(sum(tests) AS DOUBLE) AS avg_download_mbps,
+  sum(upload_mbps * tests) / CAST(sum(tests) AS DOUBLE) AS avg_upload_mbps,
+  CAST(sum(avg_lat_ms * tests) AS DOUBLE) / CAST(sum(tests) AS DOUBLE) AS avg_latency_ms
   FROM silver GROUP BY city, partition_year, partition_month""",
         "write_silver_roundtrip": _SILVER_ROWS,
         "write_flat_roundtrip": _with(
