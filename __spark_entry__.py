@@ -43,6 +43,14 @@ from tilelake.sources import (  # noqa: E402
 )
 from tilelake.streaming import incremental_silver, read_incremental  # noqa: E402
 
+try:  # the only guard for a copy of the library without these operators
+    import corpus_pipeline
+    from tilelake.llm import queries as llm_queries
+except ImportError as error:
+    if (error.name or "").partition(".")[0] not in ("corpus_pipeline", "tilelake"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 _SMALL = "/root/testdata/sf0.001"
 PROCESSED_AT = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 _kept: dict[tuple, object] = {}
@@ -323,7 +331,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each callable takes (spark, sf_dir)."""
-    return {
+    llm = {} if llm_queries is None else {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    return llm | {
         "scan_bronze": _bronze,
         "list_files": q_list_files,
         "file_count": q_file_count,
@@ -380,4 +389,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The same results in SQL for DuckDB, for every key that SQL can express."""
-    return oracle.statements()
+    llm = {} if llm_queries is None else llm_queries.STATEMENTS
+    return llm | oracle.statements()
