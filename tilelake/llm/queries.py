@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from tilelake.llm import mixing
+from tilelake.llm import licenses, mixing, topk
 
 QUERIES = {
     "op4_mix_sources": mixing.op4,
+    "op5_topk_search": topk.op5,
+    "op8_license_scan": licenses.op8,
 }
 
 STATEMENTS = {
     "op4_mix_sources": mixing.SQL,
+    "op5_topk_search": topk.SQL,
+    "op8_license_scan": licenses.SQL,
 }
