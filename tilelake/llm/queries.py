@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tilelake.llm import licenses, mixing, topk
+from tilelake.llm import fingerprints, licenses, mixing, topk
 
 QUERIES = {
     "op4_mix_sources": mixing.op4,
     "op5_topk_search": topk.op5,
     "op8_license_scan": licenses.op8,
+    "op10_fingerprints": fingerprints.op10,
 }
 
 STATEMENTS = {
