@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tilelake.llm import fingerprints, licenses, mixing, topk
+from tilelake.llm import bpe, fingerprints, licenses, mixing, topk
 
 QUERIES = {
     "op4_mix_sources": mixing.op4,
     "op5_topk_search": topk.op5,
+    "op6_bpe": bpe.op6,
     "op8_license_scan": licenses.op8,
     "op10_fingerprints": fingerprints.op10,
 }
