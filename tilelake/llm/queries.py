@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tilelake.llm import bpe, fingerprints, licenses, mixing, topk
+from tilelake.llm import bpe, fingerprints, licenses, mixing, simhash, topk
 
 QUERIES = {
+    "op1_simhash": simhash.op1,
     "op4_mix_sources": mixing.op4,
     "op5_topk_search": topk.op5,
     "op6_bpe": bpe.op6,
