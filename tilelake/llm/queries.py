@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tilelake.llm import bpe, fingerprints, licenses, mixing, simhash, topk
+from tilelake.llm import bpe, fingerprints, licenses, mixing, pages, simhash, topk
 
 QUERIES = {
     "op1_simhash": simhash.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_topk_search": topk.op5,
     "op6_bpe": bpe.op6,
     "op8_license_scan": licenses.op8,
+    "op9_html_extract": pages.op9,
     "op10_fingerprints": fingerprints.op10,
 }
 
