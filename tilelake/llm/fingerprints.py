@@ -22,7 +22,7 @@ from tilelake.llm.common import documents, partitions
 
 SAMPLES = 128
 #: Words whose random numbers a task keeps at a time, and words of a text that are weighed at a time.
-KEPT_WORDS, AT_ONCE = 30_000, 4096
+KEPT_WORDS, AT_ONCE = 60_000, 4096
 _EMPTY = "0" * (8 * SAMPLES)
 
 
@@ -53,10 +53,10 @@ class Sampler:
             new = words
         start = len(self.places)
         ids = np.fromiter((xxhash.xxh64_intdigest(w, 7) for w in new), np.uint64, len(new))
-        uniform = ((_mixed(ids[:, None, None] + self.steps) >> np.uint64(11)) + np.uint64(1)) * 2.0**-53
+        uniform = ((_mixed(ids[:, None, None] + self.steps) >> np.uint64(11)) + np.uint64(1)) * (2.0**-53 * (1 - 2.0**-20))
         rows = slice(start, start + len(new))
-        r = -np.log(uniform[:, 0] * uniform[:, 1])
-        c = np.log(-np.log(uniform[:, 2] * uniform[:, 3]))
+        r = -np.log((uniform[:, 0] * uniform[:, 1]).astype(np.float32))
+        c = np.log(-np.log((uniform[:, 2] * uniform[:, 3]).astype(np.float32)))
         self.r[rows], self.b[rows], self.c[rows] = r, uniform[:, 4], c
         # a word that occurs once has t = 0
         self.first[rows] = self.c[rows] + self.r[rows] * self.b[rows] - self.r[rows]
@@ -77,16 +77,16 @@ class Sampler:
                 rows = np.fromiter(map(self.places.__getitem__, some), np.intp, len(some))
                 if repeated:
                     weight = np.log(np.fromiter(map(bag.__getitem__, some), np.float32, len(some)))
-                    r, b = self.r[rows], self.b[rows]
+                    r, b = self.r.take(rows, axis=0), self.b.take(rows, axis=0)
                     t = np.floor(weight[:, None] / r + b)
-                    values = self.c[rows] - r * (t - b) - r
+                    values = self.c.take(rows, axis=0) - r * (t - b) - r
                 else:
-                    values = self.first[rows]
+                    values = self.first.take(rows, axis=0)
                 at = values.argmin(axis=0)
                 every = np.arange(self.samples)
                 lower = values[at, every]
                 ids = self.ids[rows][at]
-                # an exact tie goes to the smaller word hash, whatever the order of the words
+                # an exact tie goes to the smaller word hash
                 wins = (lower < least) | ((lower == least) & (ids < word))
                 least = np.where(wins, lower, least)
                 word = np.where(wins, ids, word)
@@ -159,7 +159,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.coalesce(F.col(id_col).cast("long"), F.lit(lowest)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
     n = partitions(spark)
-    shares = [i / n for i in range(1, n)] or [0.5]
+    shares = [i / (4 * n) for i in range(1, 4 * n)]
     cuts = rows.agg(F.percentile_approx("id", shares, 10_000).alias("cuts")).first()["cuts"]
     cuts = sorted(set(cuts or []))
     edges = F.array(*(F.lit(c) for c in cuts)) if cuts else F.array().cast("array<bigint>")
