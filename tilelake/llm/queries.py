@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tilelake.llm import bpe, fingerprints, licenses, mixing, pages, simhash, topk
+from tilelake.llm import bpe, fingerprints, licenses, mixing, pages, pii, simhash, topk
 
 QUERIES = {
     "op1_simhash": simhash.op1,
     "op4_mix_sources": mixing.op4,
     "op5_topk_search": topk.op5,
     "op6_bpe": bpe.op6,
+    "op7_pii": pii.op7,
     "op8_license_scan": licenses.op8,
     "op9_html_extract": pages.op9,
     "op10_fingerprints": fingerprints.op10,
