@@ -215,6 +215,7 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", dig
         codec = Codec(tables.value)
         for batch in batches:
             found = {n: [] for n in results}
+            flat, ends = array("I"), [0]
             for text in batch.column(len(kept)):
                 ids = codec.encode(text.as_py() or "")
                 found["n_tokens"].append(len(ids))
@@ -223,9 +224,11 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text", dig
                     found["ids_sha256"].append(hashlib.sha256(packed).hexdigest())
                     found["decoded_sha256"].append(hashlib.sha256(codec.decode(ids).encode("utf-8")).hexdigest())
                 else:
-                    found["ids"].append(pa.array(ids, pa.int32()))
-            types = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}
-            columns = [pa.array(v if n != "ids" else [x.to_pylist() for x in v], types.get(n, pa.string())) for n, v in found.items()]
+                    flat.extend(ids)
+                    ends.append(len(flat))
+            columns = [pa.array(v, pa.int64() if n == "n_tokens" else pa.string()) for n, v in found.items() if n != "ids"]
+            if not digests:
+                columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *columns], names=[*kept, *results])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)

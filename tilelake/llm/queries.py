@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tilelake.llm import bpe, fingerprints, licenses, mixing, pages, pii, simhash, topk, toxicity
+from tilelake.llm import bpe, fingerprints, katz, licenses, mixing, pages, pii, simhash, topk, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1,
+    "op2_katz_score": katz.op2,
     "op3_toxicity": toxicity.op3,
     "op4_mix_sources": mixing.op4,
     "op5_topk_search": topk.op5,
