@@ -1,10 +1,71 @@
-"""Corpus pipeline: stages over documents, each written as Parquet and read again."""
+"""Corpus pipeline: stages over documents, each written as Parquet and read again.
+
+Ordinary documents stay, one of each near-duplicate group stays, personal data is replaced in the texts, sources are mixed
+to their targets (a document taken twice becomes two rows), and what is left is encoded.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tilelake.llm import bpe, mixing, pii, simhash, toxicity
+from tilelake.llm.common import documents
+from tilelake.runtime import new_table_path
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not predict to be toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.classify(docs, labels).filter(F.col("predicted") == 0).select(*COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest id of each component, one row of it where rows repeat.
+
+    Fingerprints are compared on narrow rows; texts are shuffled once, by id. Documents without an id stay, but for exact copies,
+    if their component has no id at all.
+    """
+    found = simhash.near_duplicates(docs.select("doc_id", "text"), keep_text=False)
+    keepers = found.select(F.col("component_id").alias("keeper")).distinct()
+    kept = docs.join(keepers, docs["doc_id"].eqNullSafe(keepers["keeper"]), "left_semi")
+    same = F.xxhash64("text")
+    return kept.withColumn("_same", same).dropDuplicates(["doc_id", "_same"]).select(*COLUMNS)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with personal data replaced in its text."""
+    return pii.find(docs.select(*COLUMNS), redact=True).select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.take(mixing.mix(docs.select(*COLUMNS))).select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row; each text decodes from them."""
+    return bpe.encode(docs.select(*COLUMNS))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("pii", redact),
+    ("mix_sources", mix_sources),
+    ("bpe", encode),
+]
+#: Models, fingerprints and the automaton are not expressible in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES:
+        path = new_table_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
