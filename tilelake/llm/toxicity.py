@@ -151,12 +151,14 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     at = kept.index(text_col)
     given = docs.select(*kept, (remainder(F.col(id_col), 5) == 0).alias("held_out"))
 
+    names = [*given.columns, "score", "predicted"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             m = model.value
             scores = np.array([m.score(t.as_py()) if m else 0.0 for t in batch.column(at)], float)
             columns = [*batch.columns, pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*given.columns, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     fields = [f"`{c}` {t}" for c, t in given.dtypes]
     return given.mapInArrow(run, ", ".join([*fields, "score double", "predicted int"]))
