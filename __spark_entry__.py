@@ -10,6 +10,7 @@ write on each call, and ``place_index`` builds the index on each call.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import os
 import sys
 from collections.abc import Callable
@@ -31,16 +32,19 @@ from tilelake.operators import (  # noqa: E402
 )
 from tilelake.plans import bronze_to_silver, locate, to_silver  # noqa: E402
 from tilelake.runtime import new_table_path  # noqa: E402
-from tilelake.schemas import SILVER  # noqa: E402
+from tilelake.schemas import BRONZE, SILVER  # noqa: E402
 from tilelake.sinks import read_silver, write_table  # noqa: E402
 from tilelake.sources import (  # noqa: E402
     file_count,
     freshness,
     land_bronze,
     list_files,
+    read_with_fallback,
     scan_bronze,
+    scan_quarter,
     validate_files,
 )
+from tilelake.sources.landing import tile_quarter  # noqa: E402
 from tilelake.streaming import incremental_silver, read_incremental  # noqa: E402
 
 try:  # the only guard for a copy of the library without these operators
@@ -116,22 +120,37 @@ def _comparable(silver: DataFrame) -> DataFrame:
 
 def q_list_files(spark, sf_dir):
     name = F.element_at(F.split("path", "/"), -1)
-    return list_files(spark, sf_dir).select(
+    return _listed(spark, sf_dir).select(
         name.alias("file_name"), F.endswith("path", F.lit(".parquet")).alias("is_parquet"), (F.col("length") > 0).alias("has_bytes")
     )
 
 
 def q_file_count(spark, sf_dir):
-    return file_count(list_files(spark, sf_dir))
+    return file_count(_listed(spark, sf_dir))
+
+
+def _listed(spark, sf_dir) -> DataFrame:
+    """The listing without the checksum and marker files that other writers may leave beside the tables."""
+    return list_files(spark, sf_dir).filter(~F.element_at(F.split("path", "/"), -1).rlike("^[._]"))
 
 
 def q_validate_files(spark, sf_dir):
     names = F.transform("files", lambda f: F.element_at(F.split(f, "/"), -1))
-    return validate_files(list_files(spark, sf_dir)).withColumn("files", F.array_join(names, ","))
+    return validate_files(_listed(spark, sf_dir)).withColumn("files", F.array_join(names, ","))
 
 
 def q_freshness(spark, sf_dir):
-    return freshness(list_files(spark, sf_dir), dt.datetime.now(dt.timezone.utc))
+    """Freshness 24 and 25 hours after the newest file."""
+    listing = _listed(spark, sf_dir)
+    newest = listing.agg(F.max(F.unix_micros("modificationTime"))).first()[0]
+    at = lambda hours: dt.datetime.fromtimestamp(newest / 1e6, dt.timezone.utc) + dt.timedelta(hours=hours)
+    checks = (freshness(listing, at(h)).select(F.lit(h).alias("hours"), "is_fresh") for h in (24, 25))
+    return functools.reduce(DataFrame.unionByName, checks)
+
+
+def q_read_with_fallback(spark, sf_dir):
+    """A reader that this session does not have, and the bronze folder behind it."""
+    return read_with_fallback(spark, lambda: spark.read.format("shapefile").load(sf_dir), _bronze_path(spark, sf_dir))
 
 
 def q_land_bronze(spark, sf_dir):
@@ -154,6 +173,34 @@ def q_landing_manifest(spark, sf_dir):
     return manifest.agg(F.sum("rows").alias("rows"), F.bool_and(is_parquet).alias("only_parquet"))
 
 
+def _quarter_rows(spark, sf_dir, *quarters) -> DataFrame:
+    return _bronze(spark, sf_dir).filter(tile_quarter(F.col("tile")).isin(*quarters))
+
+
+def q_land_two_quarters(spark, sf_dir):
+    """One quarter, then another, then the first again: nothing is lost and nothing doubled."""
+    target = new_table_path(spark, "landed")
+    for quarter in ("1995-q1", "1995-q2"):
+        source = new_table_path(spark, "raw")
+        _quarter_rows(spark, sf_dir, quarter).write.parquet(source)
+        for _ in range(2):
+            land_bronze(spark, source, target)
+    return spark.read.parquet(target).groupBy("quarter").agg(F.count(F.lit(1)).alias("rows"), F.sum("tests").alias("total_tests"))
+
+
+def q_scan_landed_quarter(spark, sf_dir):
+    target = new_table_path(spark, "landed")
+    land_bronze(spark, _bronze_path(spark, sf_dir), target)
+    return scan_quarter(spark, target, "1995-q2").select(*BRONZE.names)
+
+
+def q_scan_bronze_nested(spark, sf_dir):
+    root = new_table_path(spark, "nested")
+    for quarter in ("1995-q1", "1995-q2"):
+        _quarter_rows(spark, sf_dir, quarter).write.parquet(f"{root}/{quarter}/tiles")
+    return scan_bronze(spark, root)
+
+
 # --- row operators ---------------------------------------------------------------
 
 
@@ -216,6 +263,15 @@ def q_nearest_city_shuffled(spark, sf_dir):
     return cities.select("quadkey", "tile", "city", "city_lookup_success")
 
 
+def q_nearest_city_dense(spark, sf_dir):
+    """Places that crowd around one point: every coordinate is drawn to within some 100 m of it."""
+    places = fixtures.gazetteer(spark, sf_dir)
+    crowded = places.withColumns({"glat": 40 + F.col("glat") / 100_000, "glon": -90 + F.col("glon") / 100_000})
+    index = geocode.build_place_index(places.unionByName(crowded))
+    located = locate(_bronze(spark, sf_dir), PROCESSED_AT)
+    return geocode.with_cities(located, index).select("quadkey", "tile", "city", "city_lookup_success")
+
+
 def q_city_unavailable(spark, sf_dir):
     return to_silver(_bronze(spark, sf_dir), None, PROCESSED_AT).select("quadkey", "city", "city_lookup_success")
 
@@ -324,6 +380,28 @@ def q_incremental_silver(spark, sf_dir):
     return _comparable(read_incremental(spark, silver_path))
 
 
+def q_incremental_two_runs(spark, sf_dir):
+    """Two runs with new files between them, the second with an index above the broadcast limit."""
+    bronze, silver, progress = (new_table_path(spark, n) for n in ("growing", "incremental", "progress"))
+    early = F.col("tile") < "1995"
+    for rows, limit in ((early, geocode.MAX_BROADCAST_BYTES), (~early | early.isNull(), 0)):
+        _bronze(spark, sf_dir).filter(rows).write.mode("append").parquet(bronze)
+        incremental_silver(
+            spark, bronze, silver, progress, _index(spark, sf_dir), PROCESSED_AT, max_broadcast_bytes=limit
+        ).awaitTermination()
+    return _comparable(read_incremental(spark, silver))
+
+
+def q_rerun_quarter(spark, sf_dir):
+    """A quarter, another with undated tiles, and the first again: each replaces its own rows only."""
+    root, silver = new_table_path(spark, "bronze"), new_table_path(spark, "silver")
+    _quarter_rows(spark, sf_dir, "1995-q1").write.parquet(f"{root}/1995-q1")
+    _quarter_rows(spark, sf_dir, "1995-q2", "undated").write.parquet(f"{root}/1995-q2")
+    for quarter in ("1995-q1", "1995-q2", "1995-q1"):
+        bronze_to_silver(spark, root, silver, index=_index(spark, sf_dir), processed_at=PROCESSED_AT, quarter=quarter)
+    return _comparable(read_silver(spark, silver))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Top 30 cities by mean download speed: scan, clean, locate, look up, aggregate."""
     return queries()["top_cities_download"](spark, _SMALL)
@@ -340,6 +418,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "freshness": q_freshness,
         "land_bronze": q_land_bronze,
         "landing_manifest": q_landing_manifest,
+        "land_two_quarters": q_land_two_quarters,
+        "scan_landed_quarter": q_scan_landed_quarter,
+        "scan_bronze_nested": q_scan_bronze_nested,
+        "read_with_fallback": q_read_with_fallback,
         "trim_keys": lambda spark, d: quality.trim_keys(_bronze(spark, d)).select("quadkey", "tile"),
         "filter_quadkey": q_filter(quality.has_usable_quadkey),
         "filter_speed": q_filter(quality.has_positive_speed),
@@ -362,6 +444,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "place_index": q_place_index,
         "nearest_city": q_nearest_city,
         "nearest_city_shuffled": q_nearest_city_shuffled,
+        "nearest_city_dense": q_nearest_city_dense,
         "city_unavailable": q_city_unavailable,
         "tiles_in_box": q_tiles_in_box(),
         "tiles_in_box_shuffled": q_tiles_in_box(max_broadcast_bytes=0),
@@ -384,6 +467,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "write_flat_roundtrip": q_write_flat_roundtrip,
         "scan_silver_pruned": q_scan_silver_pruned,
         "incremental_silver": q_incremental_silver,
+        "incremental_two_runs": q_incremental_two_runs,
+        "rerun_quarter": q_rerun_quarter,
     }
 
 

@@ -109,6 +109,15 @@ _FILES = (
 _QUARTER = "concat(CAST(year(d) AS VARCHAR), '-q', CAST(quarter(d) AS VARCHAR))"
 
 
+def _quarter_of(tile: str) -> str:
+    day = f"substr(trim({tile}), 1, 10)"
+    date = rf"try_cast(CASE WHEN regexp_full_match({day}, '\d{{4}}-\d{{2}}-\d{{2}}') THEN {day} END AS DATE)"
+    return f"CASE WHEN {date} IS NULL THEN 'undated' ELSE {_QUARTER.replace('(d)', f'({date})')} END"
+
+
+_QUARTERED = _with(_TILES, ("quartered", f"SELECT *, NULL AS d, {_quarter_of('tile')} AS quarter FROM tiles"))
+
+
 def _describe(column: str, source: str, value: str | None = None) -> str:
     v = f"CAST({value or column} AS DOUBLE)"
     return f"""SELECT '{column}' AS "column", count({v}) AS "count", round(avg({v}), 6) AS mean,
@@ -163,6 +172,32 @@ def statements() -> dict[str, str]:
         "string_agg(f, ',' ORDER BY f) FILTER (WHERE f <= 'orders.parquet') AS files FROM ("
         + union(f"SELECT '{n}.parquet' AS f" for n in _FILES)
         + ")",
+        "freshness": "SELECT * FROM (VALUES (24, true), (25, false)) x(hours, is_fresh)",
+        "read_with_fallback": _BRONZE + "SELECT * FROM tiles",
+        "land_two_quarters": _QUARTERED
+        + """SELECT quarter, count(*) AS rows, CAST(sum(tests) AS BIGINT) AS total_tests FROM quartered
+  WHERE quarter IN ('1995-q1', '1995-q2') GROUP BY quarter""",
+        "scan_landed_quarter": _QUARTERED + "SELECT * EXCLUDE (d, quarter) FROM quartered WHERE quarter = '1995-q2'",
+        "scan_bronze_nested": _QUARTERED
+        + "SELECT * EXCLUDE (d, quarter) FROM quartered WHERE quarter IN ('1995-q1', '1995-q2')",
+        "rerun_quarter": _SILVER
+        + f"""SELECT * REPLACE (round(latitude, 6) AS latitude, round(longitude, 6) AS longitude) FROM silver
+  WHERE {_quarter_of('tile')} IN ('1995-q1', '1995-q2', 'undated')""",
+        "incremental_two_runs": _SILVER_ROWS,
+        "nearest_city_dense": _with(
+            _TILES,
+            ("sparse", GAZETTEER_SQL.format(**_TABLES)),
+            (
+                "gazetteer",
+                """SELECT * FROM sparse UNION ALL
+  SELECT * REPLACE (40 + glat / 100000 AS glat, -90 + glon / 100000 AS glon) FROM sparse""",
+            ),
+            _PLACES,
+            _CLEANED,
+            _LOCATED,
+            *_nearest("located"),
+        )
+        + "SELECT quadkey, tile, city, city_lookup_success FROM with_city",
         "land_bronze": _BRONZE
         + f"""SELECT CASE WHEN d IS NULL THEN 'undated' ELSE {_QUARTER} END AS quarter, count(*) AS rows,
   CAST(sum(tests) AS BIGINT) AS total_tests, count(*) AS rows_with_source

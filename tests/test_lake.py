@@ -25,6 +25,7 @@ from tilelake.sources import (
     require_rows,
     resolve_bronze_path,
     scan_bronze,
+    scan_quarter,
     validate_files,
     verify_silver,
 )
@@ -88,19 +89,19 @@ def test_fallback_source(spark, bronze_path):
     first = lambda: spark.read.parquet(bronze_path + "-absent")
     assert read_with_fallback(spark, first, bronze_path).count() == len(TILES)
     assert read_with_fallback(spark, lambda: spark.range(2), bronze_path).count() == 2
+    absent = lambda: spark.read.format("shapefile").load(bronze_path)
+    assert read_with_fallback(spark, absent, bronze_path).count() == len(TILES)
 
 
 def test_file_listing(spark, bronze_path):
     listing = list_files(spark, bronze_path)
-    names = sorted(n for n in os.listdir(bronze_path) if n[0] not in "._")
+    names = sorted(n for n in os.listdir(bronze_path) if not n.endswith(".crc"))
     assert sorted(r.path.rsplit("/", 1)[1] for r in listing.collect()) == names
     report = validate_files(listing).first()
     parquet = [n for n in names if n.endswith(".parquet")]
     assert (report.total_objects, report.parquet_files, report.valid) == (len(names), len(parquet), True)
     assert [f.rsplit("/", 1)[1] for f in report.files] == parquet
     assert tuple(file_count(listing).first()) == (len(names), True)
-    scan = listing._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in scan or "content" not in scan
 
 
 def test_listing_of_a_missing_or_empty_folder(spark, tmp_path):
@@ -151,6 +152,86 @@ def test_landing(spark, tmp_path):
     assert sum(r.rows for r in manifest.collect()) == len(TILES)
 
 
+def test_landing_keeps_and_repeats(spark, tmp_path):
+    target, sources = str(tmp_path / "landed"), [str(tmp_path / n) for n in ("raw1", "raw2")]
+    for source, rows in zip(sources, (TILES[:2], TILES[2:])):
+        spark.createDataFrame(rows, BRONZE).coalesce(1).write.parquet(source)
+    for source in (sources[0], sources[1], sources[0], sources[1]):
+        land_bronze(spark, source, target)
+        landed = spark.read.parquet(target)
+    assert landed.count() == len(TILES)
+    assert scan_quarter(spark, target, "2020-q4").count() == 1 and scan_quarter(spark, target, None).count() == 7
+    assert check_bronze(spark, target, "2020-q4") and not check_bronze(spark, target, "2021-q4")
+    plan = scan_quarter(spark, target, "2020-q4")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(quarter" in plan
+
+
+def test_landing_names_damaged_files_wherever_they_sort(spark, tmp_path):
+    source = str(tmp_path / "raw")
+    spark.createDataFrame(TILES, BRONZE).coalesce(1).write.parquet(source)
+    for name in ("a_bad.parquet", "z_bad.parquet"):
+        with open(f"{source}/{name}", "wb") as f:
+            f.write(b"not parquet")
+    manifest = land_bronze(spark, source, str(tmp_path / "landed"), skip_unreadable=True).collect()
+    assert sorted(r.source_file.rsplit("/", 1)[1] for r in manifest if not r.landed) == ["a_bad.parquet", "z_bad.parquet"]
+    assert sum(r.rows for r in manifest) == len(TILES)
+
+
+def test_nested_bronze_reads_every_file(spark, tmp_path):
+    root = str(tmp_path / "root")
+    spark.createDataFrame(TILES[:3], BRONZE).write.parquet(f"{root}/2019-q1/a")
+    spark.createDataFrame(TILES[3:], BRONZE).coalesce(1).write.mode("append").parquet(root)
+    assert scan_bronze(spark, root).count() == len(TILES)
+
+
+def test_old_writers_text(spark, tmp_path):
+    path = str(tmp_path / "binary")
+    rows = spark.createDataFrame(TILES, BRONZE)
+    rows.withColumns({c: F.encode(c, "utf-8") for c in ("quadkey", "tile")}).write.parquet(path)
+    assert same_rows(rows, scan_bronze(spark, path, binary_as_string=True))
+
+
+def test_listing_has_empty_and_hidden_files(spark, tmp_path):
+    names = ["_SUCCESS", "empty.parquet", "_delta_log/0.json", "a.txt", ".hidden"]
+    os.makedirs(tmp_path / "_delta_log")
+    for name in names:
+        (tmp_path / name).write_bytes(b"" if name in ("_SUCCESS", "empty.parquet") else b"x")
+    listing = list_files(spark, str(tmp_path))
+    assert sorted(r.path.removeprefix(f"file:{tmp_path}/") for r in listing.collect()) == sorted(names)
+    report = validate_files(listing).first()
+    assert (report.total_objects, report.parquet_files, report.valid) == (5, 1, True)
+
+
+def test_rerun_of_a_quarter_replaces_only_its_rows(spark, places, tmp_path):
+    root, silver = str(tmp_path / "root"), str(tmp_path / "silver")
+    spark.createDataFrame(TILES[:2], BRONZE).write.parquet(f"{root}/2019-q1")
+    spark.createDataFrame(TILES[2:4], BRONZE).write.parquet(f"{root}/2020-q4")
+    index = build_place_index(places)
+    for quarter in ("2019-q1", "2020-q4", "2020-q4", "2019-q1"):
+        bronze_to_silver(spark, root, silver, index=index, processed_at=STAMP, quarter=quarter)
+        kept = read_silver(spark, silver)
+    assert sorted(r.quadkey for r in kept.collect()) == ["0331", "1200", "2130", "3012"]
+
+
+def test_incremental_stops_at_a_file_without_a_column(spark, bronze_path, index, tmp_path):
+    silver, progress = str(tmp_path / "silver"), str(tmp_path / "progress")
+    spark.createDataFrame(TILES, BRONZE).drop("tests").write.mode("append").parquet(bronze_path)
+    for _ in range(2):
+        with pytest.raises(Exception, match="Missing required columns"):
+            incremental_silver(spark, bronze_path, silver, progress, index, STAMP).awaitTermination()
+
+
+def test_incremental_layout_is_the_same_for_every_index(spark, bronze_path, index, tmp_path):
+    silver, progress = str(tmp_path / "silver"), str(tmp_path / "progress")
+    for limit, tile in ((10**9, "2021-05-01_x"), (0, "2021-06-01_x")):
+        extra = spark.createDataFrame([("22", tile, 9, 9, 9, 9, 9)], BRONZE).withColumn("note", F.lit("n"))
+        extra.write.mode("append").parquet(bronze_path)
+        incremental_silver(spark, bronze_path, silver, progress, index, STAMP, max_broadcast_bytes=limit).awaitTermination()
+    found = read_incremental(spark, silver)
+    assert found.count() == 6 and found.filter("note = 'n'").count() == 2
+    assert all(n.startswith("batch_id=") for n in os.listdir(silver) if n[0] not in "._")
+
+
 def test_tile_quarters(spark):
     tiles = ["2019-01-31_x", "2019-04-01", "2019-13-01_x", "2019-02-30_x", "x", "", None, " 2019-12-31_x"]
     df = spark.createDataFrame([(t,) for t in tiles], "tile string")

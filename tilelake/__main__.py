@@ -11,14 +11,13 @@ import logging
 from pyspark.sql import SparkSession
 
 from tilelake.plans import bronze_to_silver
-from tilelake.sources import resolve_bronze_path
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="tilelake", description="Clean and enrich bronze tiles into silver.")
     parser.add_argument("bronze", help="folder of raw tiles")
     parser.add_argument("silver", help="folder of the silver table")
-    parser.add_argument("--quarter", help="sub-folder of the bronze folder, such as 2019-q1")
+    parser.add_argument("--quarter", help="quarter to read, a sub-folder or landed partition such as 2019-q1; its earlier rows are replaced")
     parser.add_argument("--gazetteer", help="parquet places: name, admin1, cc, glat, glon")
     parser.add_argument("--projection", choices=["linear", "mercator"], default="linear")
     args = parser.parse_args()
@@ -28,10 +27,11 @@ def main() -> None:
         gazetteer = spark.read.parquet(args.gazetteer) if args.gazetteer else None
         bronze_to_silver(
             spark,
-            resolve_bronze_path(args.bronze, args.quarter),
+            args.bronze,
             args.silver,
             gazetteer=gazetteer,
             projection=args.projection,
+            quarter=args.quarter,
         )
     finally:
         spark.stop()

@@ -17,7 +17,7 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def _box_cells(boxes: DataFrame) -> DataFrame:
-    """Each box with the cells it touches, on the finest level whose cells are at least
+    """Each box with the cells it touches (the whole globe for boxes larger than it), on the finest level whose cells are at least
     half as wide and high as the box: nine cells at most. Boxes over the 180th meridian
     (lon_min > lon_max) are cut in two there."""
     whole = F.struct(F.col("lon_min").alias("west"), F.col("lon_max").alias("east"))
@@ -31,7 +31,7 @@ def _box_cells(boxes: DataFrame) -> DataFrame:
     share = F.greatest(
         (F.col("east") - F.col("west")) / 360.0, (F.col("lat_max") - F.col("lat_min")) / 180.0, F.lit(finest)
     )
-    leveled = pieces.withColumn("level", (F.floor(-F.log2(share)) + 1).cast("int"))
+    leveled = pieces.withColumn("level", F.greatest(F.floor(-F.log2(share)) + 1, F.lit(0)).cast("int"))
     n = F.call_function("shiftleft", F.lit(1), F.col("level"))
     index = lambda value, offset, extent: F.least(
         F.greatest(F.floor((value + offset) / extent * n), F.lit(0)), n - 1

@@ -28,15 +28,17 @@ from tilelake.runtime import checkpointed
 
 # A cell is a leaf once at most this many places are in reach of it.
 LEAF_PLACES = 16
-# Query cells start at 256 cells and stop at about 600 x 300 m; place cells go down to 2 m.
+# Query cells start at 256 cells; query and place cells go down to 2 m.
 FIRST_LEVEL = 4
-MAX_LEVEL = 16
+MAX_LEVEL = 24
 MAX_PLACE_LEVEL = 24
 _PLACE_LEVEL_STEP = 2
 # Cells with at most this many places are refined to single places in one round.
-_SMALL_CROWD = 8192
+_SMALL_CROWD = 1024
 # Grids up to this level have at most 65,536 cells: small enough to broadcast always.
 _BROADCAST_LEVEL = 8
+# Up to so many levels a row is copied for each, which costs less than looking them up.
+_FEW_LEVELS = 2
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 # Size of one place in a broadcast leaf, without its label.
 _PLACE_BYTES = 80
@@ -250,6 +252,20 @@ def _leaf_keys(levels: tuple[int, ...], prefix: str = "") -> Column:
     return F.array(*cells)
 
 
+def _levels_directory(index: PlaceIndex, coarse: int) -> DataFrame:
+    """The levels of the leaves in each cell of the level ``coarse``, at most 4^coarse rows."""
+    below = f"greatest(level - {coarse}, 0)"
+    above = f"greatest({coarse} - level, 0)"
+    leaves = index.places.select(*_LEAF).distinct()
+    steps = F.expr(f"sequence(0, shiftleft(1, 2 * {above}) - 1)")
+    cells = leaves.select("*", F.explode(steps).alias("sub")).selectExpr(
+        "level",
+        f"shiftleft(shiftright(cell_x, {below}), {above}) + sub % shiftleft(1, {above}) AS __dir_x",
+        f"shiftleft(shiftright(cell_y, {below}), {above}) + shiftright(sub, {above}) AS __dir_y",
+    )
+    return cells.groupBy("__dir_x", "__dir_y").agg(F.collect_set("level").alias("__levels"))
+
+
 def _query_vector(prefix: str) -> dict[str, Column]:
     lat, lon = F.col("latitude"), F.col("longitude")
     valid = is_location(lat, lon)
@@ -284,8 +300,21 @@ def _with_cities_broadcast(df: DataFrame, index: PlaceIndex) -> DataFrame:
     )
     # The leaves tile the globe and null coordinates are given a cell as well, so the
     # inner join keeps each row exactly once.
+    if len(index.levels) <= _FEW_LEVELS:
+        keyed = df.select("*", F.inline(_leaf_keys(index.levels, "__")))
+    else:
+        # A directory tells which levels there are in a row's part of the globe, so that a row is
+        # copied once for each of these and not for every level of the index.
+        coarse = min(_BROADCAST_LEVEL, max(index.levels))
+        x, y = grid_cell(F.col("latitude"), F.col("longitude"), coarse)
+        own_levels = F.filter(_leaf_keys(index.levels, "__"), lambda k: F.array_contains("__levels", k["__level"]))
+        keyed = (
+            df.withColumns({"__dir_x": x, "__dir_y": y})
+            .join(F.broadcast(_levels_directory(index, coarse)), ["__dir_x", "__dir_y"])
+            .select(*df.columns, F.inline(own_levels))
+        )
     looked_up = (
-        df.select("*", F.inline(_leaf_keys(index.levels, "__")))
+        keyed
         .join(F.broadcast(leaves), key)
         .withColumns(_query_vector("__q"))
         .withColumn("__match", F.when(F.col("__qx").isNotNull(), nearest))

@@ -39,9 +39,11 @@ def salted_join(
     )
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     copies = F.when(null_key, shares).otherwise(F.coalesce(F.col(_COPIES), F.lit(1)))
+    # a hash of the row, not its place: a repeated task deals its rows out as before
+    hashable = [f.name for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
     dealt = (
         left.join(F.broadcast(hot), keys, "left")
-        .withColumn(_SALT, F.pmod(F.monotonically_increasing_id(), copies).cast("int"))
+        .withColumn(_SALT, F.pmod(F.xxhash64(*hashable), copies).cast("int"))
         .drop(_COPIES)
     )
     copied = (

@@ -16,7 +16,7 @@ from tilelake.operators.layout import add_partition_columns
 from tilelake.operators.quality import clean, has_location
 from tilelake.schemas import PARTITION_COLUMNS, SILVER
 from tilelake.sinks.tables import rebalanced, write_silver
-from tilelake.sources.bronze import require_rows, scan_bronze
+from tilelake.sources.bronze import require_rows, scan_quarter
 
 log = logging.getLogger(__name__)
 
@@ -76,16 +76,20 @@ def bronze_to_silver(
     processed_at: dt.datetime | None = None,
     projection: str = "linear",
     rebalance: bool = True,
+    quarter: str | None = None,
     **write_options,
 ) -> RunStatistics:
     """Read bronze, clean and enrich it, write the partitioned silver table.
 
     The statistics are gathered while the table is written: the data is read once.
     They are observed in the writing stage, after the shuffle, where a lost executor
-    cannot make a row count twice. Bronze rows are counted from the parquet footers.
+    cannot make a row count twice. With a ``quarter`` only its bronze rows are read (see
+    ``scan_quarter``), and they replace what that quarter wrote to silver before. Bronze rows are counted from the parquet footers.
     """
     started = time.monotonic()
-    bronze = scan_bronze(spark, bronze_path)
+    bronze = scan_quarter(spark, bronze_path, quarter)
+    if quarter is not None:
+        bronze = bronze.drop("quarter")  # of a landed table; in silver it is the folder
     require_rows(bronze, bronze_path)
     if index is None and gazetteer is not None:
         index = build_place_index(gazetteer)
@@ -94,7 +98,7 @@ def bronze_to_silver(
     if rebalance:
         silver = rebalanced(silver, PARTITION_COLUMNS)
     observed = Observation("silver")
-    write_silver(silver.observe(observed, *silver_measures()), silver_path, rebalance=False, **write_options)
+    write_silver(silver.observe(observed, *silver_measures()), silver_path, quarter=quarter, rebalance=False, **write_options)
     measured = observed.get
     bronze_rows = bronze.count()
     silver_rows = measured["silver_rows"]

@@ -1,4 +1,4 @@
-from tilelake.sources.bronze import read_with_fallback, require_rows, resolve_bronze_path, scan_bronze
+from tilelake.sources.bronze import read_with_fallback, require_rows, resolve_bronze_path, scan_bronze, scan_quarter
 from tilelake.sources.files import check_bronze, file_count, freshness, list_files, validate_files, verify_silver
 from tilelake.sources.landing import land_bronze
 
@@ -12,6 +12,7 @@ __all__ = [
     "require_rows",
     "resolve_bronze_path",
     "scan_bronze",
+    "scan_quarter",
     "validate_files",
     "verify_silver",
 ]

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tilelake.schemas import validate_schema
+from tilelake.schemas import BRONZE, validate_schema
 
 
 def resolve_bronze_path(root: str, quarter: str | None = None) -> str:
@@ -16,23 +19,49 @@ def resolve_bronze_path(root: str, quarter: str | None = None) -> str:
     return f"{path}{quarter}/" if quarter else path
 
 
-def scan_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """All parquet files below ``path``; raises if a required column is missing.
+def scan_bronze(
+    spark: SparkSession, path: str, quarter: str | None = None, binary_as_string: bool = False
+) -> DataFrame:
+    """All parquet files below ``path``, nested ones too; raises if a required column is missing.
 
-    Columns come from the files, so columns beyond the bronze schema pass through.
+    Columns come from the files, so columns beyond the bronze schema pass through, and so do partition
+    columns. ``quarter`` selects a partition of a landed table. ``binary_as_string`` reads required text columns that
+    old writers stored as plain bytes.
     """
-    df = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+    reader = spark.read.option("pathGlobFilter", "*.parquet")
+    nested = reader.option("recursiveFileLookup", "true").parquet(path)
+    try:
+        # only folders named column=value give columns; a reader without them skips every other folder
+        partitioned = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
+    except AnalysisException:
+        partitioned = nested
+    df = partitioned if len(partitioned.columns) > len(nested.columns) else nested
+    if binary_as_string:
+        text = {f.name for f in BRONZE.fields if f.dataType == T.StringType()}
+        stored = [f.name for f in df.schema.fields if f.name in text and f.dataType == T.BinaryType()]
+        df = df.withColumns({c: F.decode(c, "utf-8") for c in stored})
     validate_schema(df)
-    return df
+    return df if quarter is None else df.filter(F.col("quarter") == quarter)
+
+
+def scan_quarter(spark: SparkSession, root: str, quarter: str | None) -> DataFrame:
+    """One quarter below ``root``: its own folder, or its partition of a landed table; without a quarter, everything."""
+    if quarter is None:
+        return scan_bronze(spark, root)
+    try:
+        return scan_bronze(spark, resolve_bronze_path(root, quarter))
+    except AnalysisException:
+        return scan_bronze(spark, root, quarter)
 
 
 def read_with_fallback(spark: SparkSession, first: Callable[[], DataFrame], path: str) -> DataFrame:
-    """The first source, or the parquet folder ``path`` when it cannot be resolved."""
+    """The first source, or the parquet folder ``path`` when it cannot be read: an unknown
+    format, a missing path or any other error of the reader."""
     try:
         df = first()
         df.schema
         return df
-    except AnalysisException:
+    except (PySparkException, Py4JJavaError):
         return spark.read.parquet(path)
 
 

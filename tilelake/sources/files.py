@@ -1,18 +1,18 @@
 """File listings as DataFrames: counts, validation, freshness.
 
-Only names, sizes and times are selected, so file contents are never read. On a very
-large lake ``spark.sql.files.maxPartitionNum`` bounds the number of listing tasks.
+Only names, sizes and times are listed; file contents are never read.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tilelake.runtime import new_table_path
 from tilelake.sources.bronze import resolve_bronze_path
 
 LISTING = T.StructType(
@@ -24,16 +24,32 @@ LISTING = T.StructType(
 )
 # Fixed value: how many file names a validation report shows.
 SAMPLE_FILES = 10
+LISTING_BATCH = 20_000
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Every file below ``path``; no rows when the path cannot be listed."""
+    """Every file below ``path``, empty and hidden ones too; no rows when the path cannot be listed.
+
+    The file system's own recursive iterator is walked and handed to Spark ``LISTING_BATCH`` files at a time, so the
+    driver never holds a longer list.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    table, rows = None, []
     try:
-        return (
-            spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(*LISTING.names)
-        )
-    except AnalysisException:
-        return spark.createDataFrame([], LISTING)
+        found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(folder, True)
+        while found.hasNext():
+            status = found.next()
+            time = dt.datetime.fromtimestamp(status.getModificationTime() / 1000, dt.timezone.utc)
+            rows.append((status.getPath().toString(), status.getLen(), time))
+            if len(rows) == LISTING_BATCH:
+                table = table or new_table_path(spark, "listing")
+                spark.createDataFrame(rows, LISTING).write.mode("append").parquet(table)
+                rows = []
+    except Py4JJavaError as error:
+        if "FileNotFoundException" not in str(error.java_exception):
+            raise
+    last = spark.createDataFrame(rows, LISTING)
+    return last if table is None else spark.read.schema(LISTING).parquet(table).unionByName(last)
 
 
 def file_count(listing: DataFrame) -> DataFrame:
@@ -77,8 +93,9 @@ def freshness(listing: DataFrame, now: dt.datetime, max_age_hours: int = 24) ->
 
 
 def check_bronze(spark: SparkSession, root: str, quarter: str) -> bool:
-    """Whether the quarter's bronze folder holds any file."""
-    return bool(file_count(list_files(spark, resolve_bronze_path(root, quarter))).first()["path_exists"])
+    """Whether the quarter's bronze folder, or its partition of a landed table, holds any file."""
+    places = resolve_bronze_path(root, quarter), resolve_bronze_path(root, f"quarter={quarter}")
+    return any(file_count(list_files(spark, p)).first()["path_exists"] for p in places)
 
 
 def verify_silver(spark: SparkSession, path: str) -> dict:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilelake.functions import quarter_of
+from tilelake.schemas import BRONZE
 from tilelake.sinks.tables import write_table
 
 # Quarter of tiles whose date cannot be read.
@@ -24,22 +26,36 @@ def land_bronze(
     source: str,
     target: str,
     skip_unreadable: bool = False,
-    mode: str = "overwrite",
+    schema: T.StructType | None = None,
     rebalance: bool = True,
 ) -> DataFrame:
-    """Copy all parquet files below ``source`` into the quarter-partitioned table
-    ``target`` and return the manifest: rows landed per source file.
+    """Copy all parquet files below ``source`` into the table ``target`` and return this run's manifest:
+    source file, rows, and whether the file was landed.
 
-    ``source_file`` keeps each row's origin. ``skip_unreadable`` leaves out damaged
-    files instead of failing; the manifest shows which files arrived. Files that already
+    The table is partitioned by quarter and by source file, and a run replaces the partitions of the files it lands: landing
+    a file again leaves no duplicates, and other files and quarters stay. ``source_file`` keeps each
+    row's origin. ``skip_unreadable`` leaves out damaged files instead of failing, and the manifest names them; the files are then
+    read with ``schema`` (default: the bronze schema), so that a damaged file cannot be asked for its columns. Files that already
     hold one quarter each can be landed without a shuffle: ``rebalance=False``.
     """
-    raw = (
+    reader = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
         .option("ignoreCorruptFiles", str(skip_unreadable).lower())
-        .parquet(source)
     )
-    landed = raw.select("*", F.col("_metadata.file_path").alias("source_file"), tile_quarter(F.col("tile")).alias("quarter"))
-    write_table(landed, target, partitions=["quarter"], mode=mode, fmt="parquet", rebalance=rebalance)
-    return spark.read.parquet(target).groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+    if schema is not None or skip_unreadable:
+        reader = reader.schema(schema or BRONZE)
+    raw = reader.parquet(source).select("*", F.col("_metadata.file_path").alias("source_file"))
+    source_key = F.lower(F.hex(F.xxhash64("source_file")))
+    landed = raw.select("*", tile_quarter(F.col("tile")).alias("quarter"), source_key.alias("source_key"))
+    write_table(
+        landed, target, partitions=["quarter", "source_key"], fmt="parquet", replace_partitions=True, rebalance=rebalance
+    )
+    rows = raw.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(source)
+    every = files.select(F.col("path").alias("listed"))
+    # the two readers write the scheme of local paths differently
+    plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+    return every.join(rows, plain(F.col("listed")) == plain(F.col("source_file")), "left").select(
+        F.coalesce("source_file", "listed").alias("source_file"), F.coalesce("rows", F.lit(0)).alias("rows"), F.col("rows").isNotNull().alias("landed")
+    )

@@ -6,19 +6,32 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tilelake.operators.geocode import MAX_BROADCAST_BYTES, PlaceIndex, is_broadcast
+from tilelake.operators.geocode import MAX_BROADCAST_BYTES, PlaceIndex
 from tilelake.plans.silver import to_silver
-from tilelake.schemas import BRONZE, PARTITION_COLUMNS, SILVER
+from tilelake.schemas import BRONZE, PARTITION_COLUMNS, SILVER, validate_schema
 from tilelake.sinks.tables import write_table
 
+# Files of one micro-batch; their names pass through the driver, so their number is bounded.
+MAX_FILES = 100
 
-def _bronze_stream(spark: SparkSession, path: str, max_files: int | None) -> DataFrame:
+
+def _new_files(spark: SparkSession, path: str, max_files: int) -> DataFrame:
+    """A stream of the paths of new parquet files, once for each of their rows; no column is read."""
     reader = spark.readStream.schema(BRONZE).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.option("maxFilesPerTrigger", max_files).parquet(path).select(F.col("_metadata.file_path").alias("path"))
+
+
+def read_files(spark: SparkSession, files: list[str]) -> DataFrame:
+    """The rows of some bronze files; raises if one of them lacks a required column.
+
+    Columns beyond the bronze schema are kept, from whichever file has them.
+    """
+    for file in files:
+        validate_schema(spark.read.parquet(file))
+    return spark.read.option("mergeSchema", "true").parquet(*files)
 
 
 def incremental_silver(
@@ -29,29 +42,22 @@ def incremental_silver(
     index: PlaceIndex | None,
     processed_at: dt.datetime | None = None,
     projection: str = "linear",
-    max_files: int | None = None,
+    max_files: int = MAX_FILES,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> StreamingQuery:
     """Process the bronze files that arrived since the last run, then stop.
 
-    With a place index of broadcast size each row is handled on its own, so the stream
-    is a stateless projection into the file sink. A larger index needs the shuffled
-    lookup, which aggregates; it runs batch by batch, and each batch replaces its own
-    ``batch_id`` partition, so that a repeated batch leaves no duplicates.
+    The stream carries file names; each micro-batch reads its files as the batch job does and replaces its own
+    ``batch_id`` partition, so that a repeated batch leaves no duplicates. Layout and writer are the same
+    for every size of the place index. A file without a required column stops the query before
+    its batch is committed, so it is not passed over.
     """
-    bronze = _bronze_stream(spark, bronze_path, max_files)
-    if index is None or is_broadcast(index, max_broadcast_bytes):
-        return (
-            to_silver(bronze, index, processed_at, projection)
-            .writeStream.format("parquet")
-            .partitionBy(*PARTITION_COLUMNS)
-            .option("checkpointLocation", checkpoint_path)
-            .trigger(availableNow=True)
-            .start(silver_path)
-        )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        silver = to_silver(batch, index, processed_at, projection, max_broadcast_bytes)
+        files = sorted(r["path"] for r in batch.distinct().collect())
+        if not files:
+            return
+        silver = to_silver(read_files(batch.sparkSession, files), index, processed_at, projection, max_broadcast_bytes)
         write_table(
             silver.withColumn("batch_id", F.lit(batch_id)),
             silver_path,
@@ -61,7 +67,8 @@ def incremental_silver(
         )
 
     return (
-        bronze.writeStream.foreachBatch(write_batch)
+        _new_files(spark, bronze_path, max_files)
+        .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
@@ -69,5 +76,9 @@ def incremental_silver(
 
 
 def read_incremental(spark: SparkSession, silver_path: str) -> DataFrame:
-    """Silver rows written so far by either way of ``incremental_silver``."""
-    return spark.read.schema(SILVER).parquet(silver_path).select(*SILVER.names)
+    """Silver rows written so far, extra columns before the partition columns."""
+    found = spark.read.option("mergeSchema", "true").parquet(silver_path).schema
+    extra = [f for f in found.fields if f.name not in {*SILVER.names, "batch_id"}]
+    rows = spark.read.schema(T.StructType([*SILVER.fields, *extra])).parquet(silver_path)
+    known = [c for c in SILVER.names if c not in PARTITION_COLUMNS]
+    return rows.select(*known, *(f.name for f in extra), *PARTITION_COLUMNS)
