@@ -32,7 +32,7 @@ from tilelake.llm.common import documents, partitions, remainder, words_of
 from tilelake.runtime import new_table_path
 
 #: Largest discounted count, what larger counts keep, tokens of a chunk.
-K, KEEP, CHUNK_TOKENS = 5, 0.999, 1_000_000
+K, KEEP, CHUNK_TOKENS = 5, 0.999, 800_000
 _BEGIN, _END = b"\n<", b"\n>"  # no word holds white space
 _ROWS = "kind int, key long, blob binary"
 _DOCS, _CONTEXTS, _ASKED, _COUNTS, _META = range(5)
@@ -101,7 +101,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for w in words_of(text.as_py()):
                     counts[w] += 1
                 counts[_END] += 1
-            if len(counts) > 400_000:
+            if len(counts) > 200_000:
                 yield out()
                 counts.clear()
     if counts:
@@ -184,7 +184,7 @@ def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found, at
 
 
-def _counted(parts: int, hot: dict[int, int], unigrams: Unigrams):
+def _counted(ranges: int, hot: dict[int, int], unigrams: Unigrams):
     hot_hashes, hot_counts = np.array(sorted(hot), np.uint64), np.array([hot[h] for h in sorted(hot)], np.int64)
     end = np.uint64(_hash(_END))
 
@@ -205,6 +205,7 @@ def _counted(parts: int, hot: dict[int, int], unigrams: Unigrams):
         pair_codes = w * np.uint64(0xD6E8FEB86659FD93) ^ (v + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xFF51AFD7ED558CCD)
         pair_codes ^= pair_codes >> np.uint64(32)
         pairs, at = _grouped(pair_codes)
+        del pair_codes
         c_pair = np.bincount(at, weights=learnt, minlength=len(pairs)).astype(np.int64)
         words, w_at = _grouped(w)
         c_word = np.bincount(w_at, weights=learnt, minlength=len(words)).astype(np.int64)
@@ -223,10 +224,10 @@ def _counted(parts: int, hot: dict[int, int], unigrams: Unigrams):
         fields = [np.bincount(where, weights=cv == r, minlength=len(some)) for r in range(1, K + 1)]
         fields.append(np.bincount(where, weights=np.where(cv > K, cv, 0), minlength=len(some)))
         heard = np.bincount(where, weights=pw, minlength=len(some))
-        to = (some % np.uint64(parts)).astype(np.int64)
+        to = (some % np.uint64(ranges)).astype(np.int64)
         order = np.argsort(to, kind="stable")
-        edges = np.searchsorted(to[order], np.arange(parts + 1))
-        for q in range(parts):
+        edges = np.searchsorted(to[order], np.arange(ranges + 1))
+        for q in range(ranges):
             own = order[edges[q] : edges[q + 1]]
             if len(own):
                 rows.append((_CONTEXTS, q, _pack(some[own], [_small(x[own]) for x in fields], heard[own].astype(np.float32))))
@@ -248,9 +249,9 @@ def _counted(parts: int, hot: dict[int, int], unigrams: Unigrams):
             missing = np.flatnonzero(c == 0)
             if len(missing):
                 m_v, m_doc, m_n = v[owner[missing]], doc[missing], n[missing]
-                to = (m_v % np.uint64(parts)).astype(np.int64)
+                to = (m_v % np.uint64(ranges)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
-                edges = np.searchsorted(to[order], np.arange(parts + 1))
+                edges = np.searchsorted(to[order], np.arange(ranges + 1))
                 for q in np.flatnonzero(np.diff(edges)):
                     own = order[edges[q] : edges[q + 1]]
                     asked[int(q)].append((chunk, m_v[own], m_doc[own], m_n[own]))
@@ -327,7 +328,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"), (remainder(F.col(id_col), 10) == 0).alias("held"))
+    # hash ranges of last words, and of contexts: what is kept of contexts is a small part of the whole
     parts = 2 * partitions(spark)
+    ranges = -(-parts // 4)
     words = rows.select("text", "held").mapInArrow(_word_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     place = new_table_path(spark, "katz-words")
     words.write.parquet(place)
@@ -341,7 +344,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     train_docs = words.filter(F.col("h") == int(end)).agg(F.sum("n")).first()[0] or 0
     shuffled = rows.select("text", "doc_id", "held").mapInArrow(_chunks(parts, hot), _ROWS).groupBy("kind", "key")
     tables = new_table_path(spark, "katz-tables")
-    counted = shuffled.applyInArrow(_counted(parts, hot, Unigrams(total, counts, larger)), _ROWS)
+    counted = shuffled.applyInArrow(_counted(ranges, hot, Unigrams(total, counts, larger)), _ROWS)
     counted.write.partitionBy("kind").parquet(tables)
     stored = spark.read.schema("key long, blob binary, kind int").parquet(tables).select("kind", "key", "blob")
     pairs = np.zeros(K + 2, np.int64)
