@@ -249,8 +249,13 @@ def q_quarter_of(spark, sf_dir):
 
 
 def q_place_index(spark, sf_dir):
-    index = geocode.build_place_index(fixtures.gazetteer(spark, sf_dir))
-    return index.places.groupBy("label").agg(F.count(F.lit(1)).alias("leaves")).select("label")
+    """What each place's own spot is looked up as, and the share of the globe that leaves cover."""
+    gazetteer = fixtures.gazetteer(spark, sf_dir)
+    index = geocode.build_place_index(gazetteer)
+    leaves = index.places.select("level", "cell_x", "cell_y").distinct()
+    covered = leaves.agg(F.sum(F.pow(F.lit(4.0), -F.col("level"))).alias("covered")).first()["covered"]
+    spots = gazetteer.select(F.col("glat").alias("latitude"), F.col("glon").alias("longitude")).distinct()
+    return geocode.with_cities(spots, index).select("latitude", "longitude", "city", F.lit(covered).alias("covered"))
 
 
 def q_nearest_city(spark, sf_dir):

@@ -232,8 +232,13 @@ def statements() -> dict[str, str]:
         "quadkey_center_mercator": _centers(
             "trim(quadkey)", "mercator", "regexp_full_match(trim(quadkey), '[0-3]+')"
         ),
-        "place_index": _with(_GAZETTEER)
-        + f"SELECT DISTINCT label FROM (SELECT min({_LABEL}) AS label FROM gazetteer GROUP BY glat, glon)",
+        "place_index": _with(
+            _GAZETTEER,
+            _PLACES,
+            ("spots", "SELECT DISTINCT glat AS latitude, glon AS longitude FROM gazetteer"),
+            *_nearest("spots"),
+        )
+        + "SELECT latitude, longitude, city, 1e0 AS covered FROM with_city",
         "nearest_city": _SILVER + _CITIES,
         "nearest_city_shuffled": _SILVER + _CITIES,
         "city_unavailable": _with(_TILES)
