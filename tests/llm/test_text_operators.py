@@ -254,6 +254,13 @@ def test_main_text(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+def test_open_elements():
+    assert pages.main_text("<head><title>t<p>a" ) == ""
+    body = "<article><p>The text of the page and of the article</p></article>"
+    assert pages.main_text(f"<html><head><meta><body>{body}") == pages.main_text(body) != ""
+    assert pages.main_text(f"{body}<script>var a = 1; <p>the of and</p>") == pages.main_text(body)
+
+
 def test_blocks_between_decided_ones():
     good = "<p>" + "the text of the page is in the block and " * 8 + "</p>"
     bad = "<p><a href='x'>link one</a> <a>link two</a></p>"

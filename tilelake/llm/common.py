@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,10 +45,5 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
-def with_results(df: DataFrame, results: Iterable[tuple[str, Column]]) -> DataFrame:
-    """Add result columns; a result replaces an input column of the same name."""
-    return df.withColumns(dict(results))
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -27,7 +27,9 @@ STOP_WORDS = frozenset(
     al como con de del el en es la las lo los no para por que se su sus un una y
     """.split()
 )
-_SKIPPED = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "textarea", "select", "head", "canvas", "video", "audio"}
+_SKIPPED = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "textarea", "select", "head", "title", "canvas", "video", "audio"}
+#: Of these, an element without an end tag reaches to the end of the page; any other is then read as if it were not there.
+_RAW = {"script", "style", "textarea", "title"}
 _BOILERPLATE = {"nav", "footer", "aside", "form", "menu", "dialog"}
 _CONTAINERS = _BOILERPLATE | {"header", "article", "main", "div", "section", "ul", "ol", "dl", "table", "details", "figure", "blockquote"}
 _BLOCKS = _CONTAINERS | set(
@@ -104,7 +106,7 @@ def blocks_of(html: str) -> list[Block]:
         if name in _SKIPPED:
             if not ends and not match[3].endswith("/"):
                 shut = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, place)
-                place = shut.end() if shut else length
+                place = shut.end() if shut else length if name in _RAW else place
         elif name == "a":
             links = max(0, links - 1) if ends else links + 1
         elif name == "br":
