@@ -34,7 +34,7 @@ MAX_LEVEL = 24
 MAX_PLACE_LEVEL = 24
 _PLACE_LEVEL_STEP = 2
 # Cells with at most this many places are refined to single places in one round.
-_SMALL_CROWD = 1024
+_SMALL_CROWD = 64
 # Grids up to this level have at most 65,536 cells: small enough to broadcast always.
 _BROADCAST_LEVEL = 8
 # Up to so many levels a row is copied for each, which costs less than looking them up.
