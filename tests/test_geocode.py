@@ -212,3 +212,23 @@ def test_shuffled_lookup_has_no_broadcast_of_places_and_no_nested_loop(spark):
     index = build_place_index(gazetteer(spark, *sphere(200, 2)))
     text = plan(with_cities(locations(spark, *sphere(10, 1)), index, max_broadcast_bytes=0))
     assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_stored_index(spark, tmp_path):
+    from tilelake.__main__ import stored_index
+
+    lat, lon = sphere(60, 5)
+    places, path = gazetteer(spark, lat, lon), str(tmp_path / "index")
+    built, read = stored_index(spark, path, places), stored_index(spark, path, None)
+    assert (built.levels, built.rows, built.size_bytes) == (read.levels, read.rows, read.size_bytes)
+    rows = locations(spark, *sphere(40, 6))
+    assert with_cities(rows, built).collect() == with_cities(rows, read).collect()
+
+
+def test_dense_cluster_stays_small(spark):
+    lat, lon = sphere(60, 8)
+    draw = np.random.default_rng(9)
+    near = 48 + draw.uniform(0, 0.0009, 400), 11 + draw.uniform(0, 0.0009, 400)
+    index = build_place_index(gazetteer(spark, np.r_[lat, near[0]], np.r_[lon, near[1]]))
+    leaves = index.places.groupBy("level", "cell_x", "cell_y").count().agg(F.max("count")).first()[0]
+    assert leaves <= 4 * geocode.LEAF_PLACES

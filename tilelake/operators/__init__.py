@@ -11,7 +11,14 @@ from tilelake.operators.analytics import (
     top_cities,
 )
 from tilelake.operators.boxes import tiles_in_boxes
-from tilelake.operators.geocode import PlaceIndex, build_place_index, with_cities, without_cities
+from tilelake.operators.geocode import (
+    PlaceIndex,
+    build_place_index,
+    read_place_index,
+    with_cities,
+    without_cities,
+    write_place_index,
+)
 from tilelake.operators.layout import add_partition_columns
 from tilelake.operators.quality import clean, cleaning_report, trim_keys
 
@@ -29,10 +36,12 @@ __all__ = [
     "first_rows",
     "gold_city_month",
     "quality_histogram",
+    "read_place_index",
     "run_statistics",
     "tiles_in_boxes",
     "top_cities",
     "trim_keys",
     "with_cities",
     "without_cities",
+    "write_place_index",
 ]

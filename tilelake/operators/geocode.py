@@ -18,7 +18,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -224,7 +224,10 @@ def build_place_index(
             step = _PLACE_LEVEL_STEP if crowd > _SMALL_CROWD else MAX_PLACE_LEVEL
             parent, level = level, min(level + step, MAX_PLACE_LEVEL)
             pairs = open_pairs.join(_occupied_cells(places, level, parent), ["up_x", "up_y"])
-    candidates = checkpointed(reduce(DataFrame.unionByName, leaves))
+    return _measured(checkpointed(reduce(DataFrame.unionByName, leaves)))
+
+
+def _measured(candidates: DataFrame) -> PlaceIndex:
     size = candidates.agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.octet_length("label")).alias("label_bytes"),
@@ -232,12 +235,22 @@ def build_place_index(
     ).first()
     return PlaceIndex(
         places=candidates,
-        levels=tuple(size["levels"]),
+        levels=tuple(size["levels"] or ()),
         rows=size["rows"],
         size_bytes=size["rows"] * _PLACE_BYTES + (size["label_bytes"] or 0),
     )
 
 
+def write_place_index(index: PlaceIndex, path: str) -> None:
+    """Store an index, to be built once for a gazetteer and read by every later run."""
+    index.places.write.mode("overwrite").parquet(path)
+
+
+def read_place_index(spark: SparkSession, path: str) -> PlaceIndex:
+    """A stored index, measured again."""
+    return _measured(spark.read.parquet(path))
+
+
 def _tie_distance(distance: Column) -> Column:
     return F.floor(distance * _TIE_SCALE)
 
