@@ -135,6 +135,40 @@ def test_find_and_redact(spark):
     assert pii.redacted("ab cd ef", [(0, 0, 2), (1, 1, 5), (2, 6, 8)]) == "<EMAIL> <PHONE>".replace("PHONE", "CARD")
 
 
+def _personal(rng: random.Random, kind: int) -> str:
+    if kind == 0:
+        return "".join(rng.choice("abcdehlmnorst") for _ in range(6)) + f"{rng.randrange(99)}@mail{rng.randrange(99)}.example.org"
+    if kind == 1:
+        return ".".join(str(rng.randrange(1, 256)) for _ in range(4))
+    if kind == 2:
+        digits = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        return next(f"{d[:4]} {d[4:8]} {d[8:12]} {d[12:]}" for x in range(10) if pii._luhn(d := f"{digits}{x}"))
+    return f"+1 {rng.randrange(200, 999)} {rng.randrange(200, 999)} {rng.randrange(1000, 9999)}"
+
+
+def test_model_finds_each_kind_beside_copies_and_years(spark):
+    """A span follows a year by far; two groups of copies alone would fill the sample."""
+    rng = random.Random(3)
+    copies = [f"copied in {year} " + prose(year, 30) for year in (1987, 2004)]
+    texts = [copies[i % 2] for i in range(3000)] + [f"in {1900 + i % 120} {prose(i, 40)}" for i in range(1000)]
+    texts += [f"since {1950 + i % 70} {prose(i, 60)} {_personal(rng, i % 4)} {prose(i + 1, 9)}" for i in range(200)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(7)
+    sample = pii._sample(docs, "text")
+    assert {k: sum(r[0] == k for r in sample) for k in range(5)} == {0: 50, 1: 50, 2: 50, 3: 50, 4: pii.SHARE}
+    assert len(set(sample)) == len({r[2] for r in sample}) == len(sample)
+    assert sample == pii._sample(docs.repartition(3), "text")
+    model = pii.train_model(sample)
+    rewritten = {0: lambda s: s.replace("@", " @ "), 1: lambda s: s.replace(".", " . "), 2: lambda s: s.replace(" ", "."), 3: lambda s: "(" + s[3:6] + ") " + s[7:].replace(" ", "-")}
+    for kind, how in rewritten.items():
+        spans = [how(_personal(rng, kind)) for _ in range(40)]
+        given = [f"from {1950 + i} {prose(500 + i, 30)} {s} {prose(700 + i, 9)}" for i, s in enumerate(spans)]
+        assert not any(pii.base_spans(t) and kind != 0 for t in given)
+        found = pii.model_spans(model, given)
+        right = sum((kind, t.index(s), t.index(s) + len(s)) in f for t, s, f in zip(given, spans, found))
+        assert right >= 30, (pii.KINDS[kind], right)
+    assert sum(map(len, pii.model_spans(model, [f"in {1900 + i} {prose(900 + i, 30)}" for i in range(100)]))) <= 2
+
+
 # --- toxicity ------------------------------------------------------------------------
 
 

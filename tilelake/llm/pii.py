@@ -1,7 +1,7 @@
 """Personal data: base patterns, and a character-level BiLSTM-CRF that adds spans.
 
-The model is trained in the driver from spans that the base patterns label in a bounded sample of windows, and from rewritten
-forms of these spans that the patterns miss. Whole texts are then read in overlapping windows; each character takes its tag from the window
+The model is trained in the driver from spans that the base patterns label in a bounded sample of windows (distinct
+ones, as many of each kind, and as many without a span), and from rewritten forms of these spans that the patterns miss. Whole texts are then read in overlapping windows; each character takes its tag from the window
 in whose middle it stands most, and spans are read from the joined tags. By definition a span of any kind holds a digit or
 an @, so a window without either is outside as a whole and is not computed.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +22,11 @@ from tilelake.llm import lstm_crf
 from tilelake.llm.common import documents
 
 KINDS = ("email", "ip", "card", "phone")
+NONE = len(KINDS)
 #: Characters of a window and between windows; windows computed at a time; windows of the training sample.
 WIDTH, STRIDE, AT_ONCE, SAMPLE = 64, 32, 512, 1200
+#: Of the sample, the part of each kind and of windows without a span; characters before and after a sampled place; tasks that merge samples.
+SHARE, BEFORE, AFTER, MERGERS = SAMPLE // (len(KINDS) + 1), 3 * STRIDE, 2 * STRIDE, 8
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _HOST = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 # greedy digits end a match at the end of their run, so a match can start at the start of a run only
@@ -106,44 +109,99 @@ def _rewritten(rng: random.Random, kind: int, span: str) -> str:
     return rng.choice([span, "00" + digits, f"({digits[1:4]}) {digits[4:7]}-{digits[7:]}", f"{digits[1:4]}-{digits[4:7]}-{digits[7:]}"])
 
 
-def _sample(docs: DataFrame, text_col: str) -> list[str]:
-    """At most SAMPLE windows around a digit or @, those of least hash over all documents."""
+def _labelled(text: str) -> Iterator[tuple[int, str, int, str]]:
+    """(kind, window, place in it, spans in it) of every base span, and as kind NONE of places with a sign but no span near."""
+    spans: list[tuple[int, int, int]] = []
+    for a, b, kind in sorted((a, b, k) for k, a, b in base_spans(text)):
+        if not spans or a >= spans[-1][1]:
+            spans.append((a, b, kind))
+    for i, (a, b, kind) in enumerate(spans):
+        start, end = max(0, a - BEFORE), min(len(text), a + BEFORE + AFTER, max(a + AFTER, b))
+        first = last = i
+        while first and spans[first - 1][0] >= start:
+            first -= 1
+        while last + 1 < len(spans) and spans[last + 1][1] <= end:
+            last += 1
+        # no other span is cut at an edge
+        start = max(start, spans[first - 1][1]) if first else start
+        end = min(end, spans[last + 1][0]) if last + 1 < len(spans) else end
+        inside = ",".join(f"{x - start}:{min(y, end) - start}:{k}" for x, y, k in spans[first : last + 1])
+        yield kind, text[start:end], a - start, inside
+    at = i = 0
+    while sign := _SIGN.search(text, at):
+        place = sign.start()
+        while i < len(spans) and spans[i][1] <= place - BEFORE:
+            i += 1
+        if i < len(spans) and spans[i][0] < place + AFTER:
+            at = max(place + 1, spans[i][1])
+        else:
+            start = max(0, place - BEFORE)
+            yield NONE, text[start : place + AFTER], place - start, ""
+            at = place + AFTER
+
+
+def _least(rows: Iterable[tuple]) -> list[tuple]:
+    """Of rows (kind, hash, window, place, spans) the distinct windows of least hash, at most SHARE of a kind."""
+    found: dict[int, dict[str, tuple]] = {}
+    bound: dict[int, int] = {}
+    cut = lambda mine: sorted(mine.values())[:SHARE]
+    for row in rows:
+        kind, h, window = row[:3]
+        if h > bound.get(kind, h):
+            continue
+        mine = found.setdefault(kind, {})
+        mine[window] = min(row, mine.get(window, row))
+        if len(mine) > 4 * SHARE:
+            kept = cut(mine)
+            found[kind], bound[kind] = {r[2]: r for r in kept}, kept[-1][1]
+    return [r for kind in sorted(found) for r in cut(found[kind])]
+
+
+def _sample(docs: DataFrame, text_col: str) -> list[tuple]:
+    """Distinct windows around base spans, and some without any, those of least hash over all documents: SHARE a kind at most.
+
+    Tasks pass on no more than the sample's size each, and as such samples merge in any order, rows are dealt out evenly for it.
+    """
+    types = (pa.int32(), pa.int64(), pa.string(), pa.int32(), pa.string())
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows) if rows else [[]] * len(types)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["kind", "h", "w", "place", "spans"])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for value in batch.column(0):
-                text = value.as_py() or ""
-                sign = _SIGN.search(text)
-                if sign:
-                    start = max(0, sign.start() - 3 * STRIDE)
-                    found.append(text[start : start + 5 * STRIDE])
-            hashes = [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) >> 1 for w in found]
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(found, pa.string())], names=["h", "w"])
-
-    rows = docs.select(text_col).mapInArrow(windows, "h long, w string").orderBy("h", "w").limit(SAMPLE).collect()
-    return [r["w"] for r in rows]
-
-
-def train_model(windows: list[str]) -> dict | None:
-    """A model from windows of text; None without any."""
-    if not windows:
+        texts = (value.as_py() or "" for batch in batches for value in batch.column(0))
+        found = (x for text in texts for x in _labelled(text))
+        yield batch_of(_least((k, xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) >> 1, w, at, s) for k, w, at, s in found))
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield batch_of(_least(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))))
+
+    schema = "kind int, h long, w string, place int, spans string"
+    rows = docs.select(text_col).mapInArrow(windows, schema).repartition(MERGERS).mapInArrow(merged, schema).collect()
+    return _least(map(tuple, rows))
+
+
+def train_model(sample: list[tuple]) -> dict | None:
+    """A model from rows of _sample(); None without any. Every kind that has windows is shown equally often."""
+    if not sample:
         return None
     rng, symbols, tags = random.Random(7), [], []
-    for text in windows:
-        pieces, marks, at = [], [], 0
-        spans = sorted((a, b, k) for k, a, b in base_spans(text))
-        for a, b, kind in spans:
-            if a < at:
-                continue
+    strata: dict[int, list[tuple]] = {}
+    for row in sample:
+        strata.setdefault(row[0], []).append(row)
+    for _, _, text, place, inside in (rows[i % len(rows)] for rows in strata.values() for i in range(SHARE)):
+        pieces, marks, at, focus = [], [], 0, place
+        for a, b, kind in (map(int, s.split(":")) for s in inside.split(",") if s):
             span = _rewritten(rng, kind, text[a:b])
             pieces += [text[at:a], span]
-            marks += [0] * (a - at) + [1 + 2 * kind] + [2 + 2 * kind] * (len(span) - 1)
+            marks += [0] * (a - at)
+            if a == place:
+                focus = len(marks)
+            marks += [1 + 2 * kind] + [2 + 2 * kind] * (len(span) - 1)
             at = b
         whole = "".join(pieces) + text[at:]
         marks += [0] * (len(whole) - len(marks))
-        sign = _SIGN.search(whole)
-        start = max(0, (sign.start() if sign else 0) - rng.randrange(WIDTH // 2))
+        start = max(0, focus - rng.randrange(WIDTH // 2))
         part = _symbols(whole[start : start + WIDTH])
         symbols.append(np.pad(part, (0, WIDTH - len(part)), constant_values=_N_SYMBOLS - 1))
         tags.append(np.pad(np.array(marks[start : start + WIDTH], np.int64), (0, WIDTH - len(part))))
