@@ -288,6 +288,26 @@ def test_main_text(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+def test_layout_classes_do_not_hide_the_article():
+    text = "The whole of the article is here and it is not a menu, as the words of this text are in it and on the page. " * 3
+    body, alone = f"<p>{text}</p>", text.strip()
+    for page in (
+        f"<main class='content no-sidebar'>{body}</main>",
+        f"<div class='has-sidebar'><article>{body}</article></div>",
+        f"<article class='post comments-open'>{body}</article>",
+        f"<div class='overflow-hidden'>{body}</div>",
+        f"<div id='page' class='comments-open nav-fixed right-sidebar'>{body}</div>",
+        f"<body class='sidebar-left modal-open'>{text}</body>",
+        f"<body class='sidebar'><div class='social widget'><main id='search'><article class='share'>{body}</article></main></div></body>",
+    ):
+        assert pages.main_text(page) == alone, page
+    for other in ("<div class='comments'>{0}</div>", "<div id='comments-list'><article class='comment'>{0}</article></div>", "<section class='related-posts x'>{0}</section>", "<div class='cookie-banner'>{0}</div>", "<div role='navigation'>{0}</div>", "<article class='ad'>{0}</article>", "<p class='ad'>Buy {1}</p>"):
+        advert = other.format("<p>" + text.replace("article", "advert") + "</p>", text)
+        assert pages.main_text(f"<article class='post'>{body}</article>{advert}") == alone, other
+        assert pages.main_text(f"{advert}<main class='no-sidebar'>{body}</main>") == alone, other
+    assert pages.main_text(f"<div style='display: none'><article>{body}</article></div>") == ""
+
+
 def test_open_elements():
     assert pages.main_text("<head><title>t<p>a" ) == ""
     body = "<article><p>The text of the page and of the article</p></article>"

@@ -43,6 +43,9 @@ _NAMES = set(
     pager skip hidden copyright disclaimer
     """.split()
 )
+#: What may follow one of the names in a class that says how a page is laid out, not what an element is.
+_STATES = set("open opened closed enabled disabled active inactive on off left right fixed collapsed expanded visible layout page".split())
+_NAMED = re.compile(r"([a-z]+)(?:[^a-z]+(.*))?", re.S)
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[a-zA-Z!?][^>]*+>""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -58,25 +61,61 @@ class Block:
     label: str = ""
 
 
-def _marked(attributes: str) -> bool:
-    """Whether class, id, role or style say that an element is not main text."""
+@dataclass
+class Element:
+    """An open container: boilerplate for sure, or by its name unless it is or holds the page's article."""
+
+    name: str
+    parent: Element | None
+    bad: bool
+    named: bool
+    inside: bool
+    holds: bool = False
+
+
+def _names(token: str) -> bool:
+    """Whether a class, id or role is one of the names, or starts with one that its end does not make a state of the page."""
+    parts = _NAMED.fullmatch(token)
+    return bool(parts) and parts[1] in _NAMES and (parts[2] or "") not in _STATES
+
+
+def _marks(attributes: str) -> tuple[bool, bool]:
+    """Whether hidden or style say that an element is not shown, and whether class, id or role say that it is not main text."""
+    hidden = named = False
     for name, value in _ATTRIBUTE.findall(attributes) if attributes.strip("/ ") else ():
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name == "style":
-            if "display:none" in value.replace(" ", ""):
-                return True
-        elif not _NAMES.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
-    return False
+            hidden = True
+        elif name == "style":
+            hidden = hidden or "display:none" in value.replace(" ", "")
+        elif name in ("class", "id", "role"):
+            named = named or any(map(_names, value.split()))
+    return hidden, named
+
+
+def _set_holders(elements: list[Element]) -> None:
+    """Names do not count for a page's main element, its first article (in main, if there is one) and what these stand in."""
+    chosen, within, articles = [], set(), []
+    for e in elements:  # parents first
+        if e.name == "main":
+            chosen.append(e)
+        if e.name == "main" or id(e.parent) in within:
+            within.add(id(e))
+        if e.name == "article":
+            articles.append(e)
+    chosen += [e for e in articles if not within or id(e) in within][:1]
+    for e in chosen:
+        while e and not e.holds:
+            e.holds, e = True, e.parent
 
 
 def blocks_of(html: str) -> list[Block]:
     """The page's blocks in order, with white space made single and character references decoded."""
     found: list[Block] = []
     pieces: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # container, in boilerplate, in an article
+    stack: list[Element] = []
+    elements: list[Element] = []
+    holders: list[Element | None] = []  # of each block
     linked = links = 0
     heading = own = False
     place, length = 0, len(html)
@@ -85,8 +124,8 @@ def blocks_of(html: str) -> list[Block]:
         nonlocal pieces, linked
         text = " ".join("".join(pieces).split())
         if text:
-            bad, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            found.append(Block(text, linked, heading, bad or own, inside))
+            found.append(Block(text, linked, heading, own, bool(stack) and stack[-1].inside))
+            holders.append(stack[-1] if stack else None)
         pieces, linked = [], 0
 
     while place < length:
@@ -118,16 +157,26 @@ def blocks_of(html: str) -> list[Block]:
             if name in _CONTAINERS:
                 if ends:
                     for i in range(len(stack) - 1, -1, -1):
-                        if stack[i][0] == name:
+                        if stack[i].name == name:
                             del stack[i:]
                             break
                 else:
-                    bad, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-                    bad = bad or name in _BOILERPLATE or name == "header" and not inside or _marked(match[3])
-                    stack.append((name, bad, inside or name in ("article", "main")))
+                    parent = stack[-1] if stack else None
+                    inside = parent is not None and parent.inside
+                    hidden, named = _marks(match[3])
+                    bad = hidden or name in _BOILERPLATE or name == "header" and not inside
+                    stack.append(Element(name, parent, bad, named, inside or name in ("article", "main")))
+                    elements.append(stack[-1])
             elif not ends:
-                own = name in ("button", "label", "legend") or _marked(match[3])
+                hidden, named = _marks(match[3])
+                # the page's own names say how it is laid out
+                own = name in ("button", "label", "legend") or hidden or named and name not in ("body", "html")
     close()
+    _set_holders(elements)
+    for e in elements:  # parents first
+        e.bad = e.bad or e.named and not e.holds or e.parent is not None and e.parent.bad
+    for block, holder in zip(found, holders):
+        block.boilerplate = block.boilerplate or holder is not None and holder.bad
     return found
 
 
