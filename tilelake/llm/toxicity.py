@@ -1,4 +1,4 @@
-"""Toxicity by class-conditional Kneser-Ney models.
+"""Toxicity by class-conditional models with absolute discounting (not Kneser-Ney: no continuation counts).
 
 Two bigram models are counted, one on toxic and one on ordinary documents of a bounded labelled sample. Both back off
 to their class's words and from there to one distribution of counts shared by the classes, so that an
