@@ -34,6 +34,11 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def column(name: str) -> Column:
+    """The column of exactly this name, dots and spaces included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def free_names(df: DataFrame, *wanted: str) -> list[str]:
     """Names like ``wanted`` that no column of ``df`` has, whatever the case."""
     taken, out = {c.lower() for c in df.columns}, []

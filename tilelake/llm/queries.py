@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tilelake.llm import bpe, fingerprints, katz, licenses, mixing, pages, pii, simhash, topk, toxicity
+from tilelake.llm import bpe, divergence, fingerprints, katz, licenses, mixing, pages, pii, simhash, topk, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_license_scan": licenses.op8,
     "op9_html_extract": pages.op9,
     "op10_fingerprints": fingerprints.op10,
+    "op11_divergence": divergence.op11,
 }
 
 STATEMENTS = {
     "op4_mix_sources": mixing.SQL,
     "op5_topk_search": topk.SQL,
     "op8_license_scan": licenses.SQL,
+    "op11_divergence": divergence.SQL,
 }
