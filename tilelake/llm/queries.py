@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tilelake.llm import bpe, divergence, fingerprints, katz, licenses, mixing, pages, pii, simhash, topk, toxicity
+from tilelake.llm import bpe, divergence, fingerprints, katz, licenses, mixing, pages, pii, runs, simhash, topk, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_html_extract": pages.op9,
     "op10_fingerprints": fingerprints.op10,
     "op11_divergence": divergence.op11,
+    "op12_runs": runs.op12,
 }
 
 STATEMENTS = {
