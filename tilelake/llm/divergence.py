@@ -25,8 +25,8 @@ from tilelake.runtime import checkpointed
 BREAK = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Bytes of text counted at a time, count rows a task gathers before it merges them, and matrix cells at a time.
 SLICE_BYTES, GATHERED, CELLS = 8 << 20, 400_000, 1 << 21
-#: Sources of one language in a block.
-BLOCK = 512
+#: Sources of one language in a block, and kept counts wanted in a shard: each shard gives a row for every pair of sources.
+BLOCK, SHARD_ROWS = 512, 16_384
 
 _COUNTED = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
 
@@ -273,7 +273,8 @@ def divergences(
     # block b of a source is needed by every tile (i, j), i <= j, of which it is a side
     block = F.pmod(F.xxhash64("source"), F.lit(blocks)).cast("int")
     tiles = F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda o: F.least(o, F.col("block")) * blocks + F.greatest(o, F.col("block")))
-    shard = F.pmod(F.xxhash64("term"), F.lit(n)).cast("int")
+    shards_of_lang = max(1, -(-kept.count() // SHARD_ROWS))
+    shard = F.pmod(F.xxhash64("term"), F.lit(shards_of_lang)).cast("int")
     none = lambda t: F.lit(None).cast(t)
     terms = kept.select(
         "lang", shard.alias("shard"), F.lit(True).alias("is_term"), "source", block.alias("block"), "term", "n", "lang_n",
