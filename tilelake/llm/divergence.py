@@ -103,7 +103,7 @@ def _share(count: np.ndarray, total: np.ndarray, smooth: int) -> np.ndarray:
 class _Shard:
     """The sums and best terms of one (lang, shard, tile)."""
 
-    def __init__(self, rows: dict, tile: tuple, smooth: int, top: int):
+    def __init__(self, rows: dict, tile: tuple, first: bool, smooth: int, top: int):
         self.smooth, self.top, self.diagonal = smooth, top, tile[0] == tile[1]
         order = sorted(range(len(rows["source"])), key=lambda i: rows["block"][i] != tile[0])
         self.names = [rows["source"][i] for i in order]
@@ -112,10 +112,13 @@ class _Shard:
         added = smooth * rows["vocabulary"][0]
         self.totals = np.array([rows["total"][i] for i in order], np.int64) + added
         self.whole = np.array([rows["lang_total"][0] + added], np.int64)
-        right = self.left if self.diagonal else len(self.names) - self.left
-        self.sums = np.zeros((self.left, right), np.int64)
         self.best = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, object)]
-        self.unseen = _share(np.full(len(self.names), smooth), self.totals, smooth) if added else None
+        # a term that no source of the tile has does not come here: the language's first shard counts all
+        # terms as unseen, and each shard puts the terms it sees in their place
+        self.unseen = _share(np.full(len(self.names), smooth), self.totals, smooth) if added else np.zeros(len(self.names), np.int64)
+        right = self.unseen if self.diagonal else self.unseen[self.left :]
+        self.apart = np.abs(self.unseen[: self.left, None] - right[None, :])
+        self.sums = self.apart * (rows["vocabulary"][0] if first else 0)
 
     def add(self, terms: list, sources: list, counts: list, in_lang: list) -> None:
         """Rows of some whole terms, in order of the term."""
@@ -124,6 +127,7 @@ class _Shard:
         code = np.cumsum(heads) - 1
         col = np.fromiter(map(self.place.__getitem__, sources), np.int64, len(sources))
         own = _share(np.array(counts, np.int64) + self.smooth, self.totals[col], self.smooth)
+        self.sums -= self.apart * (int(code[-1]) + 1)
         step = max(1, CELLS // len(self.names))
         for first in range(0, int(code[-1]) + 1, step):
             a, b = np.searchsorted(code, [first, first + step])
@@ -194,7 +198,7 @@ def _divergences(blocks: int, smooth: int, top: int):
         def opened() -> None:
             nonlocal shard
             if shard is None:
-                shard = _Shard(heads, divmod(key[2], blocks), smooth, top)
+                shard = _Shard(heads, divmod(key[2], blocks), key[1] == 0, smooth, top)
 
         for batch in batches:
             if not batch.num_rows:
