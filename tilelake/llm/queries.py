@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tilelake.llm import bpe, divergence, fingerprints, katz, licenses, mixing, pages, pii, runs, simhash, topk, toxicity
+from tilelake.llm import bpe, divergence, fingerprints, katz, licenses, mixing, pages, pii, runs, simhash, superminhash, topk, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_fingerprints": fingerprints.op10,
     "op11_divergence": divergence.op11,
     "op12_runs": runs.op12,
+    "op13_superminhash": superminhash.op13,
 }
 
 STATEMENTS = {
@@ -24,4 +25,5 @@ STATEMENTS = {
     "op5_topk_search": topk.SQL,
     "op8_license_scan": licenses.SQL,
     "op11_divergence": divergence.SQL,
+    "op13_superminhash": superminhash.SQL,
 }
