@@ -7,8 +7,8 @@ one text, which makes the share of equal registers a better estimate than indepe
 
 Texts are made distinct by a digest of their lower-cased text. Registers are cut into bands; texts that agree in a band share a
 bucket. In each bucket all texts are compared with one centre, on their whole sets; the links are joined into components. Buckets
-in which texts other than the centre still lie in different components are compared in full, in tasks that hold one pair of bounded chunks
-of a bucket and give back a spanning forest of the new links. So every pair of a bucket is either joined by links or has been
+in which texts other than the centre still lie in different components are compared in full, those that share most of their texts
+as one, in tasks that hold one pair of bounded chunks and give back a spanning forest of the new links. So every pair of a bucket is either joined by links or has been
 compared, and no pair list of a group is ever written.
 """
 
@@ -302,8 +302,19 @@ def similar_edges(rows: DataFrame, sets: DataFrame, shingle: int = 2, percent: i
     )
     # bands often hold the same texts: one of them is enough
     again = inside.filter(F.col("low") != F.col("high")).groupBy("members", "shingles", "same").agg(F.min("key").alias("key"))
+    left = checkpointed(placed.join(again.select("key", "members"), "key"))
+    # and much the same: a bucket joins the largest one that half of its texts are in, and their union is compared once
+    best = left.groupBy("digest").agg(F.max(F.struct("members", "key")).alias("best"))
+    chosen = checkpointed(left.join(best, "digest").select("key", "digest", "size", "root", F.col("best").alias("best")))
+    leaders = chosen.groupBy("key").agg(F.max("best").alias("leader"))
+    agreed = chosen.join(leaders, "key").groupBy("key").agg(
+        F.first("leader.key").alias("leader"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("best") == F.col("leader")).alias("same")
+    )
+    group = F.when(2 * F.col("same") >= F.col("n"), F.col("leader")).otherwise(F.col("key"))
+    left = checkpointed(chosen.join(agreed.select("key", group.alias("group")), "key").select(F.col("group").alias("key"), "digest", "size", "root").distinct())
+    sizes = left.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("shingles"))
     chunks = F.ceil(F.greatest(F.col("members") / CHUNK, F.col("shingles") / CHUNK_SHINGLES)).cast("int")
-    left = placed.join(again.select("key", chunks.alias("chunks")), "key")
+    left = left.join(sizes.select("key", chunks.alias("chunks")), "key")
     mine = F.pmod(F.xxhash64("digest"), F.col("chunks")).cast("int")
     left = checkpointed(left.select("key", "digest", "root", "chunks", mine.alias("chunk")))
     others = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: F.least(o, F.col("chunk")) * F.col("chunks") + F.greatest(o, F.col("chunk")))
