@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle  # noqa: E402
 from tilelake import fixtures  # noqa: E402
-from tilelake.functions import place_preference, quarter_of, with_centers  # noqa: E402
+from tilelake.functions import place_preference, quarter_of, tile_quarter, with_centers  # noqa: E402
 from tilelake.operators import (  # noqa: E402
     analytics,
     boxes,
@@ -33,26 +33,26 @@ from tilelake.operators import (  # noqa: E402
 from tilelake.plans import bronze_to_silver, locate, to_silver  # noqa: E402
 from tilelake.runtime import new_table_path  # noqa: E402
 from tilelake.schemas import BRONZE, SILVER  # noqa: E402
-from tilelake.sinks import read_silver, write_table  # noqa: E402
+from tilelake.sinks import read_silver, register_silver, write_table  # noqa: E402
 from tilelake.sources import (  # noqa: E402
     file_count,
     freshness,
     land_bronze,
     list_files,
+    read_landed,
     read_with_fallback,
     scan_bronze,
     scan_quarter,
+    schema_report,
     validate_files,
 )
-from tilelake.sources.landing import tile_quarter  # noqa: E402
 from tilelake.streaming import incremental_silver, read_incremental  # noqa: E402
 
 try:  # the only guard for a copy of the library without these operators
     import corpus_pipeline
     from tilelake.llm import queries as llm_queries
 except ImportError as error:
-    if (error.name or "").partition(".")[0] not in ("corpus_pipeline", "tilelake"):
-        raise
+    print(f"without the operators of tilelake.llm: {error}", file=sys.stderr)
     corpus_pipeline = llm_queries = None
 
 _SMALL = "/root/testdata/sf0.001"
@@ -153,11 +153,15 @@ def q_read_with_fallback(spark, sf_dir):
     return read_with_fallback(spark, lambda: spark.read.format("shapefile").load(sf_dir), _bronze_path(spark, sf_dir))
 
 
+def _by_quarter(landed: DataFrame) -> DataFrame:
+    return landed.groupBy("quarter").agg(F.count(F.lit(1)).alias("rows"), F.sum("tests").alias("total_tests"))
+
+
 def q_land_bronze(spark, sf_dir):
     target = new_table_path(spark, "landed")
     land_bronze(spark, _bronze_path(spark, sf_dir), target)
     return (
-        spark.read.parquet(target)
+        read_landed(spark, target)
         .groupBy("quarter")
         .agg(
             F.count(F.lit(1)).alias("rows"),
@@ -173,19 +177,56 @@ def q_landing_manifest(spark, sf_dir):
     return manifest.agg(F.sum("rows").alias("rows"), F.bool_and(is_parquet).alias("only_parquet"))
 
 
-def _quarter_rows(spark, sf_dir, *quarters) -> DataFrame:
-    return _bronze(spark, sf_dir).filter(tile_quarter(F.col("tile")).isin(*quarters))
+def _quarter(tile="tile"):
+    return tile_quarter(F.col(tile))
 
 
 def q_land_two_quarters(spark, sf_dir):
-    """One quarter, then another, then the first again: nothing is lost and nothing doubled."""
-    target = new_table_path(spark, "landed")
-    for quarter in ("1995-q1", "1995-q2"):
-        source = new_table_path(spark, "raw")
-        _quarter_rows(spark, sf_dir, quarter).write.parquet(source)
-        for _ in range(2):
-            land_bronze(spark, source, target)
-    return spark.read.parquet(target).groupBy("quarter").agg(F.count(F.lit(1)).alias("rows"), F.sum("tests").alias("total_tests"))
+    """One quarter, then all others, then the first again, each twice: nothing is lost and nothing doubled."""
+    target, sources = new_table_path(spark, "landed"), []
+    for rows in (_quarter() == "1995-q1", _quarter() != "1995-q1"):
+        sources.append(new_table_path(spark, "raw"))
+        _bronze(spark, sf_dir).filter(rows).write.parquet(sources[-1])
+    for source in (sources[0], sources[0], sources[1], sources[1], sources[0]):
+        land_bronze(spark, source, target)
+    return _by_quarter(read_landed(spark, target))
+
+
+def _hadoop(spark, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def _files(spark, path: str) -> list:
+    system, folder = _hadoop(spark, path)
+    return sorted((s.getPath() for s in system.listStatus(folder) if s.getPath().getName().endswith(".parquet")), key=lambda p: p.getName())
+
+
+def _correct_files(spark, path: str, corrected: DataFrame) -> None:
+    """Put other rows into the files of ``path``, which keep their names."""
+    old, new_path = _files(spark, path), new_table_path(spark, "corrected")
+    corrected.repartition(len(old)).write.parquet(new_path)
+    system, _ = _hadoop(spark, path)
+    for name, file in zip(old, _files(spark, new_path), strict=True):
+        system.delete(name, False)
+        if not system.rename(file, name):
+            raise OSError(f"{file} cannot be moved")
+
+
+def q_land_corrected(spark, sf_dir):
+    """Files with wrong and too many rows are landed, corrected and landed again; others are withdrawn, others stay."""
+    raw, target = new_table_path(spark, "raw"), new_table_path(spark, "landed")
+    tiles, early = _bronze(spark, sf_dir), F.coalesce(F.col("tile") < "1995", F.lit(False))
+    wrong = tiles.withColumn("tests", F.col("tests") + 7).unionByName(tiles).filter(early)
+    wrong.repartition(3).write.parquet(f"{raw}/early")
+    tiles.filter(~early).write.parquet(f"{raw}/late")
+    tiles.sample(0.5, 1).write.parquet(f"{raw}/mistaken")
+    land_bronze(spark, raw, target)
+    _correct_files(spark, f"{raw}/early", tiles.filter(early))
+    system, folder = _hadoop(spark, f"{raw}/mistaken")
+    system.delete(folder, True)
+    land_bronze(spark, raw, target, withdraw_missing=True)
+    return _by_quarter(read_landed(spark, target))
 
 
 def q_scan_landed_quarter(spark, sf_dir):
@@ -194,11 +235,56 @@ def q_scan_landed_quarter(spark, sf_dir):
     return scan_quarter(spark, target, "1995-q2").select(*BRONZE.names)
 
 
+def _quarter_folders(spark, sf_dir) -> str:
+    """All bronze rows, each quarter's in files of a plain folder of its own."""
+
+    def make():
+        root, parts = new_table_path(spark, "nested"), new_table_path(spark, "parts")
+        tiles = _bronze(spark, sf_dir).withColumn("quarter", _quarter())
+        tiles.repartition("quarter").write.partitionBy("quarter").parquet(parts)
+        system, folder = _hadoop(spark, parts)
+        for status in system.listStatus(folder):
+            if status.isDirectory():
+                target = _hadoop(spark, f"{root}/{status.getPath().getName().partition('=')[2]}/tiles")[1]
+                system.mkdirs(target.getParent())
+                if not system.rename(status.getPath(), target):
+                    raise OSError(f"{status.getPath()} cannot be moved")
+        return root
+
+    return _once(spark, sf_dir, "nested", make)
+
+
 def q_scan_bronze_nested(spark, sf_dir):
-    root = new_table_path(spark, "nested")
-    for quarter in ("1995-q1", "1995-q2"):
-        _quarter_rows(spark, sf_dir, quarter).write.parquet(f"{root}/{quarter}/tiles")
-    return scan_bronze(spark, root)
+    return scan_bronze(spark, _quarter_folders(spark, sf_dir))
+
+
+def q_scan_bronze_mixed(spark, sf_dir):
+    """Files in the root, in plain folders, in partitions and in a landed table that had a correction, side by side; narrow
+    integers in some of them."""
+    root, raw = new_table_path(spark, "mixed"), new_table_path(spark, "raw")
+    tiles = _bronze(spark, sf_dir).withColumn("_part", F.pmod(F.xxhash64("quadkey", "tile"), F.lit(4)))
+    some = lambda k: tiles.filter(F.col("_part") == k).drop("_part")
+    some(0).repartition(2).write.parquet(raw)
+    land_bronze(spark, raw, f"{root}/landed")
+    _correct_files(spark, raw, some(0))
+    land_bronze(spark, raw, f"{root}/landed")
+    some(1).withColumn("quarter", _quarter()).repartition("quarter").write.partitionBy("quarter").parquet(f"{root}/by_quarter")
+    some(2).write.parquet(f"{root}/plain/folder")
+    narrow = {c: F.col(c).cast("int") for c in ("avg_lat_ms", "tests", "devices")}
+    some(3).withColumns(narrow).write.mode("append").parquet(root)
+    return scan_bronze(spark, root).select(*BRONZE.names)
+
+
+def q_schema_report(spark, sf_dir):
+    """Rows by the required columns that their files lack."""
+    root = new_table_path(spark, "schemas")
+    part = F.pmod(F.col("avg_d_kbps"), F.lit(3))
+    tiles = _bronze(spark, sf_dir)
+    tiles.filter(part == 0).write.parquet(f"{root}/whole")
+    tiles.filter(part == 1).drop("devices", "tests").write.parquet(f"{root}/narrow")
+    tiles.filter((part == 2) | part.isNull()).drop("devices").write.parquet(f"{root}/old")
+    found = schema_report(spark, root).groupBy(F.array_join("missing", ",").alias("missing"))
+    return found.agg(F.sum("rows").alias("rows"), F.max("damaged").alias("damaged"))
 
 
 # --- row operators ---------------------------------------------------------------
@@ -397,16 +483,40 @@ def q_incremental_two_runs(spark, sf_dir):
     return _comparable(read_incremental(spark, silver))
 
 
+def q_incremental_two_sources(spark, sf_dir):
+    """Two bronze folders feed one table; the progress of one is lost and its files are loaded anew in place of its rows."""
+    silver = new_table_path(spark, "incremental")
+    early = F.coalesce(F.col("tile") < "1995", F.lit(False))
+    sources = []
+    for rows in (early, ~early):
+        sources.append(new_table_path(spark, "growing"))
+        _bronze(spark, sf_dir).filter(rows).write.parquet(sources[-1])
+    for source, restart in ((sources[0], False), (sources[1], False), (sources[0], True)):
+        progress = new_table_path(spark, "progress")
+        incremental_silver(
+            spark, source, silver, progress, _index(spark, sf_dir), PROCESSED_AT, restart=restart
+        ).awaitTermination()
+    return _comparable(read_incremental(spark, silver))
+
+
 def q_rerun_quarter(spark, sf_dir):
-    """A quarter, another with undated tiles, and the first again: each replaces its own rows only."""
-    root, silver = new_table_path(spark, "bronze"), new_table_path(spark, "silver")
-    _quarter_rows(spark, sf_dir, "1995-q1").write.parquet(f"{root}/1995-q1")
-    _quarter_rows(spark, sf_dir, "1995-q2", "undated").write.parquet(f"{root}/1995-q2")
-    for quarter in ("1995-q1", "1995-q2", "1995-q1"):
+    """A quarter, all of them, then the undated tiles and the first again: each load replaces its own rows only."""
+    root, silver = _quarter_folders(spark, sf_dir), new_table_path(spark, "silver")
+    for quarter in ("1995-q1", None, "undated", "1995-q1"):
         bronze_to_silver(spark, root, silver, index=_index(spark, sf_dir), processed_at=PROCESSED_AT, quarter=quarter)
     return _comparable(read_silver(spark, silver))
 
 
+def q_catalog_silver(spark, sf_dir):
+    """The table by its name in the catalog, registered before and after a quarter was loaded again."""
+    root, silver = _quarter_folders(spark, sf_dir), new_table_path(spark, "silver")
+    name = f"silver_{silver.rpartition('-')[2]}"
+    for quarter in (None, "1995-q1"):
+        bronze_to_silver(spark, root, silver, index=_index(spark, sf_dir), processed_at=PROCESSED_AT, quarter=quarter)
+        register_silver(spark, name, silver)
+    return _comparable(spark.table(name))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Top 30 cities by mean download speed: scan, clean, locate, look up, aggregate."""
     return queries()["top_cities_download"](spark, _SMALL)
@@ -424,8 +534,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "land_bronze": q_land_bronze,
         "landing_manifest": q_landing_manifest,
         "land_two_quarters": q_land_two_quarters,
+        "land_corrected": q_land_corrected,
         "scan_landed_quarter": q_scan_landed_quarter,
         "scan_bronze_nested": q_scan_bronze_nested,
+        "scan_bronze_mixed": q_scan_bronze_mixed,
+        "schema_report": q_schema_report,
         "read_with_fallback": q_read_with_fallback,
         "trim_keys": lambda spark, d: quality.trim_keys(_bronze(spark, d)).select("quadkey", "tile"),
         "filter_quadkey": q_filter(quality.has_usable_quadkey),
@@ -473,7 +586,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_silver_pruned": q_scan_silver_pruned,
         "incremental_silver": q_incremental_silver,
         "incremental_two_runs": q_incremental_two_runs,
+        "incremental_two_sources": q_incremental_two_sources,
         "rerun_quarter": q_rerun_quarter,
+        "catalog_silver": q_catalog_silver,
     }
 
 

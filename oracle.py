@@ -159,6 +159,9 @@ def statements() -> dict[str, str]:
        OR (glon + 4e0 > 180e0 AND longitude <= glon + 4e0 - 360e0))
   GROUP BY name"""
     )
+    by_quarter = (
+        _QUARTERED + "SELECT quarter, count(*) AS rows, CAST(sum(tests) AS BIGINT) AS total_tests FROM quartered GROUP BY quarter"
+    )
     union = " UNION ALL ".join
     return {
         "scan_bronze": _BRONZE + "SELECT * FROM tiles",
@@ -174,15 +177,17 @@ def statements() -> dict[str, str]:
         + ")",
         "freshness": "SELECT * FROM (VALUES (24, true), (25, false)) x(hours, is_fresh)",
         "read_with_fallback": _BRONZE + "SELECT * FROM tiles",
-        "land_two_quarters": _QUARTERED
-        + """SELECT quarter, count(*) AS rows, CAST(sum(tests) AS BIGINT) AS total_tests FROM quartered
-  WHERE quarter IN ('1995-q1', '1995-q2') GROUP BY quarter""",
+        "land_two_quarters": by_quarter,
+        "land_corrected": by_quarter,
+        "scan_bronze_mixed": _BRONZE + "SELECT * FROM tiles",
+        "schema_report": _BRONZE
+        + """SELECT CASE ((avg_d_kbps % 3) + 3) % 3 WHEN 0 THEN '' WHEN 1 THEN 'devices,tests' ELSE 'devices' END AS missing,
+  count(*) AS rows, false AS damaged FROM tiles GROUP BY 1""",
         "scan_landed_quarter": _QUARTERED + "SELECT * EXCLUDE (d, quarter) FROM quartered WHERE quarter = '1995-q2'",
-        "scan_bronze_nested": _QUARTERED
-        + "SELECT * EXCLUDE (d, quarter) FROM quartered WHERE quarter IN ('1995-q1', '1995-q2')",
-        "rerun_quarter": _SILVER
-        + f"""SELECT * REPLACE (round(latitude, 6) AS latitude, round(longitude, 6) AS longitude) FROM silver
-  WHERE {_quarter_of('tile')} IN ('1995-q1', '1995-q2', 'undated')""",
+        "scan_bronze_nested": _BRONZE + "SELECT * FROM tiles",
+        "rerun_quarter": _SILVER_ROWS,
+        "catalog_silver": _SILVER_ROWS,
+        "incremental_two_sources": _SILVER_ROWS,
         "incremental_two_runs": _SILVER_ROWS,
         "nearest_city_dense": _with(
             _TILES,

@@ -6,7 +6,7 @@ from tilelake.functions.geo import (
     unit_vector,
     with_centers,
 )
-from tilelake.functions.text import UNKNOWN, city_label, percent, place_preference, quarter_of
+from tilelake.functions.text import UNKNOWN, city_label, percent, place_preference, quarter_of, tile_quarter
 
 __all__ = [
     "UNKNOWN",
@@ -18,6 +18,7 @@ __all__ = [
     "percent",
     "place_preference",
     "quarter_of",
+    "tile_quarter",
     "unit_vector",
     "with_centers",
 ]

@@ -14,8 +14,9 @@ from tilelake.operators.analytics import silver_measures
 from tilelake.operators.geocode import MAX_BROADCAST_BYTES, PlaceIndex, build_place_index, with_cities
 from tilelake.operators.layout import add_partition_columns
 from tilelake.operators.quality import clean, has_location
-from tilelake.schemas import PARTITION_COLUMNS, SILVER
-from tilelake.sinks.tables import rebalanced, write_silver
+from tilelake.schemas import ORIGIN, PARTITION_COLUMNS, SILVER
+from tilelake.sinks.silver import write_silver
+from tilelake.sinks.tables import rebalanced
 from tilelake.sources.bronze import require_rows, scan_quarter
 
 log = logging.getLogger(__name__)
@@ -87,16 +88,15 @@ def bronze_to_silver(
     ``scan_quarter``), and they replace what that quarter wrote to silver before. Bronze rows are counted from the parquet footers.
     """
     started = time.monotonic()
-    bronze = scan_quarter(spark, bronze_path, quarter)
-    if quarter is not None:
-        bronze = bronze.drop("quarter")  # of a landed table; in silver it is the folder
+    bronze = scan_quarter(spark, bronze_path, quarter, origin=quarter is None)
+    bronze = bronze.drop("quarter")  # of a landed table; in silver it is the unit
     require_rows(bronze, bronze_path)
     if index is None and gazetteer is not None:
         index = build_place_index(gazetteer)
     stamp = processed_at or dt.datetime.now(dt.timezone.utc)
     silver = to_silver(bronze, index, stamp, projection)
     if rebalance:
-        silver = rebalanced(silver, PARTITION_COLUMNS)
+        silver = rebalanced(silver, [*([] if quarter is not None else [ORIGIN]), *PARTITION_COLUMNS])
     observed = Observation("silver")
     write_silver(silver.observe(observed, *silver_measures()), silver_path, quarter=quarter, rebalance=False, **write_options)
     measured = observed.get

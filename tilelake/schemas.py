@@ -48,6 +48,8 @@ GAZETTEER = T.StructType(
 )
 
 PARTITION_COLUMNS = ["partition_year", "partition_month"]
+#: What a silver row was loaded with: its quarter of origin, or its micro-batch.
+ORIGIN = "load_unit"
 
 
 def validate_schema(df: DataFrame, required: T.StructType = BRONZE, check_types: bool = False) -> bool:

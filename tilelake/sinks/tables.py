@@ -1,12 +1,8 @@
-"""Writing and registering tables."""
+"""Writing tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tilelake.schemas import PARTITION_COLUMNS, SILVER
-
 # Table options of the silver table; they apply to the delta format only.
 DELTA_OPTIONS = {
     "overwriteSchema": "true",
@@ -42,7 +38,7 @@ def write_table(
     """Write ``df`` to ``path``.
 
     ``replace_partitions`` overwrites only the partitions present in ``df``, whoever wrote
-    them; to re-run one quarter use the ``quarter`` of ``write_silver``. Without ``rebalance`` the rows are
+    them. Without ``rebalance`` the rows are
     written where they are, with no shuffle: right for input already grouped by
     partition value.
     """
@@ -61,46 +57,3 @@ def write_table(
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.options(**(options or {})).save(path)
-
-
-def write_silver(df: DataFrame, path: str, quarter: str | None = None, **kwargs) -> None:
-    """Write the silver table, partitioned by year and month.
-
-    With a ``quarter`` of origin, rows go below a partition of that name and replace what this quarter
-    wrote before, all of it and nothing else: undated tiles, which share the partition columns of
-    January 2019, stay with the quarter they came from.
-    """
-    if quarter is None:
-        write_table(df, path, partitions=PARTITION_COLUMNS, **kwargs)
-    elif (kwargs.get("fmt") or default_format(df.sparkSession)) == "delta":
-        options = {**(kwargs.pop("options", None) or {}), "replaceWhere": f"quarter = '{quarter}'"}
-        rows = df.withColumn("quarter", F.lit(quarter))
-        write_table(rows, path, partitions=["quarter", *PARTITION_COLUMNS], options=options, **kwargs)
-    else:
-        write_table(df, f"{path.rstrip('/')}/quarter={quarter}", partitions=PARTITION_COLUMNS, **kwargs)
-
-
-def read_silver(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """Read the silver table; the explicit schema keeps partition values as text ("03", not 3)."""
-    fmt = fmt or default_format(spark)
-    reader = spark.read.format(fmt)
-    return (reader if fmt == "delta" else reader.schema(SILVER)).load(path).select(*SILVER.names)
-
-
-def register_silver(spark: SparkSession, name: str, path: str, fmt: str | None = None) -> None:
-    """Make a written silver table known to the catalog under ``name``."""
-    fmt = fmt or default_format(spark)
-    if fmt == "delta":
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING delta LOCATION '{path}'")
-        return
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in SILVER.fields)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} "
-        f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) LOCATION '{path}'"
-    )
-    spark.catalog.recoverPartitions(name)
-
-
-def drop_table(spark: SparkSession, name: str) -> None:
-    """Forget a registered table; its files stay."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")

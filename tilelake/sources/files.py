@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilelake.runtime import new_table_path
+from tilelake.sinks.live import is_live_table, snapshot
 from tilelake.sources.bronze import resolve_bronze_path
 
 LISTING = T.StructType(
@@ -94,6 +95,8 @@ def freshness(listing: DataFrame, now: dt.datetime, max_age_hours: int = 24) ->
 
 def check_bronze(spark: SparkSession, root: str, quarter: str) -> bool:
     """Whether the quarter's bronze folder, or its partition of a landed table, holds any file."""
+    if is_live_table(spark, root):
+        return not snapshot(spark, root).filter(F.col("live") & (F.col("part") == quarter)).isEmpty()
     places = resolve_bronze_path(root, quarter), resolve_bronze_path(root, f"quarter={quarter}")
     return any(file_count(list_files(spark, p)).first()["path_exists"] for p in places)
 

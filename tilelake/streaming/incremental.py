@@ -3,35 +3,59 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tilelake.operators.geocode import MAX_BROADCAST_BYTES, PlaceIndex
 from tilelake.plans.silver import to_silver
-from tilelake.schemas import BRONZE, PARTITION_COLUMNS, SILVER, validate_schema
-from tilelake.sinks.tables import write_table
-
-# Files of one micro-batch; their names pass through the driver, so their number is bounded.
-MAX_FILES = 100
-
-
-def _new_files(spark: SparkSession, path: str, max_files: int) -> DataFrame:
-    """A stream of the paths of new parquet files, once for each of their rows; no column is read."""
-    reader = spark.readStream.schema(BRONZE).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-    return reader.option("maxFilesPerTrigger", max_files).parquet(path).select(F.col("_metadata.file_path").alias("path"))
-
-
-def read_files(spark: SparkSession, files: list[str]) -> DataFrame:
-    """The rows of some bronze files; raises if one of them lacks a required column.
-
-    Columns beyond the bronze schema are kept, from whichever file has them.
-    """
-    for file in files:
-        validate_schema(spark.read.parquet(file))
-    return spark.read.option("mergeSchema", "true").parquet(*files)
+from tilelake.sinks.live import path_exists, snapshot
+from tilelake.sinks.silver import read_with_extras, write_batch
+from tilelake.sources.bronze import read_files
+
+# Bytes of the files of one micro-batch; their names pass through the driver.
+MAX_BYTES = 64 << 30
+_FILES = "path string, modificationTime timestamp, length long, content binary"
+_IDENTITY = "tilelake-stream"
+
+
+def _new_files(spark: SparkSession, path: str, max_files: int | None, max_bytes: int) -> DataFrame:
+    """A stream of new parquet files, one row each; nothing of a file is read."""
+    reader = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", "*.parquet")
+    reader = reader.option("recursiveFileLookup", "true")
+    limit = ("maxBytesPerTrigger", max_bytes) if max_files is None else ("maxFilesPerTrigger", max_files)
+    return reader.option(*limit).load(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"))
+
+
+def stream_of(bronze_path: str) -> str:
+    """The name of the stream over a bronze folder: the same for every way to write a local path."""
+    plain = re.sub("^file:/+", "/", bronze_path.rstrip("/"))
+    return "s" + hashlib.sha256(plain.encode()).hexdigest()[:16]
+
+
+def _identity(spark: SparkSession, bronze_path: str, silver_path: str, progress: str, restart: bool) -> tuple[str, int]:
+    """The stream and its epoch, as kept with the progress; new progress starts epoch 0, or the next one if ``restart`` allows it."""
+    stream = stream_of(bronze_path)
+    known = snapshot(spark, silver_path).filter("live").filter(F.col("unit").startswith(f"{stream}-"))
+    newest = known.agg(F.max(F.split("unit", "-")[1].cast("int"))).first()[0]
+    identity = f"{progress.rstrip('/')}/{_IDENTITY}"
+    kept = spark.read.schema("stream string, epoch int").json(identity).first() if path_exists(spark, identity) else None
+    if kept is not None:
+        if kept["stream"] != stream:
+            raise ValueError(f"{progress} is the progress of another bronze folder than {bronze_path}")
+        if newest is not None and newest > kept["epoch"]:
+            raise ValueError(f"{bronze_path} was started anew with other progress than {progress}")
+        return stream, kept["epoch"]
+    if newest is not None and not restart:
+        raise ValueError(
+            f"{silver_path} has rows of {bronze_path}, but their progress is not in {progress}; restart=True loads all files anew in their place"
+        )
+    epoch = 0 if newest is None else newest + 1
+    spark.createDataFrame([(stream, epoch)], "stream string, epoch int").coalesce(1).write.mode("overwrite").json(identity)
+    return stream, epoch
 
 
 def incremental_silver(
@@ -42,33 +66,36 @@ def incremental_silver(
     index: PlaceIndex | None,
     processed_at: dt.datetime | None = None,
     projection: str = "linear",
-    max_files: int = MAX_FILES,
+    max_files: int | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    max_bytes: int = MAX_BYTES,
+    restart: bool = False,
 ) -> StreamingQuery:
     """Process the bronze files that arrived since the last run, then stop.
 
-    The stream carries file names; each micro-batch reads its files as the batch job does and replaces its own
-    ``batch_id`` partition, so that a repeated batch leaves no duplicates. Layout and writer are the same
-    for every size of the place index. A file without a required column stops the query before
-    its batch is committed, so it is not passed over.
+    The stream carries one row per file, up to ``max_bytes`` of files (or ``max_files``) a batch; each micro-batch checks all footers in
+    one job, reads its files as the batch job does and becomes live as a unit of the silver table, named by
+    bronze folder, epoch and batch: a repeated batch replaces itself, and any number of bronze folders can feed one table. Layout and writer are the same
+    for every size of the place index. A file without a required column stops the query before its batch is committed,
+    so it is not passed over.
+
+    Progress that was lost would load every file a second time: the run is refused, unless ``restart`` begins a new
+    epoch, whose first batch replaces all rows of the epochs before.
     """
+    stream, epoch = _identity(spark, bronze_path, silver_path, checkpoint_path, restart)
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        files = sorted(r["path"] for r in batch.distinct().collect())
-        if not files:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
             return
-        silver = to_silver(read_files(batch.sparkSession, files), index, processed_at, projection, max_broadcast_bytes)
-        write_table(
-            silver.withColumn("batch_id", F.lit(batch_id)),
-            silver_path,
-            partitions=["batch_id", *PARTITION_COLUMNS],
-            fmt="parquet",
-            replace_partitions=True,
-        )
+        session = batch.sparkSession
+        silver = to_silver(read_files(session, batch), index, processed_at, projection, max_broadcast_bytes)
+        unit = f"{stream}-{epoch:04d}-{batch_id:09d}"
+        earlier = F.col("unit").startswith(f"{stream}-") & (F.col("unit") < f"{stream}-{epoch:04d}-")
+        write_batch(silver, silver_path, unit, (F.col("unit") == unit) | earlier)
 
     return (
-        _new_files(spark, bronze_path, max_files)
-        .writeStream.foreachBatch(write_batch)
+        _new_files(spark, bronze_path, max_files, max_bytes)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
@@ -77,8 +104,4 @@ def incremental_silver(
 
 def read_incremental(spark: SparkSession, silver_path: str) -> DataFrame:
     """Silver rows written so far, extra columns before the partition columns."""
-    found = spark.read.option("mergeSchema", "true").parquet(silver_path).schema
-    extra = [f for f in found.fields if f.name not in {*SILVER.names, "batch_id"}]
-    rows = spark.read.schema(T.StructType([*SILVER.fields, *extra])).parquet(silver_path)
-    known = [c for c in SILVER.names if c not in PARTITION_COLUMNS]
-    return rows.select(*known, *(f.name for f in extra), *PARTITION_COLUMNS)
+    return read_with_extras(spark, silver_path)
