@@ -30,7 +30,7 @@ from tilelake.operators import (  # noqa: E402
     layout,
     quality,
 )
-from tilelake.plans import bronze_to_silver, locate, to_silver  # noqa: E402
+from tilelake.plans import bronze_to_silver, locate, read_gold, refresh_gold, to_silver, with_kept_cities  # noqa: E402
 from tilelake.runtime import new_table_path  # noqa: E402
 from tilelake.schemas import BRONZE, SILVER  # noqa: E402
 from tilelake.sinks import read_silver, register_silver, write_table  # noqa: E402
@@ -517,6 +517,29 @@ def q_catalog_silver(spark, sf_dir):
     return _comparable(spark.table(name))
 
 
+def q_gold_kept_up(spark, sf_dir):
+    """Gold after two micro-batches of one folder, then of another whose progress is lost, each time from what is new."""
+    silver, gold = new_table_path(spark, "silver"), new_table_path(spark, "gold")
+    early = F.coalesce(F.col("tile") < "1995", F.lit(False))
+    sources = []
+    for rows in (early, ~early):
+        sources.append(new_table_path(spark, "growing"))
+        _bronze(spark, sf_dir).filter(rows).write.parquet(sources[-1])
+    for source, restart in ((sources[0], False), (sources[1], False), (sources[0], True)):
+        incremental_silver(
+            spark, source, silver, new_table_path(spark, "progress"), _index(spark, sf_dir), PROCESSED_AT, restart=restart
+        ).awaitTermination()
+        refresh_gold(spark, silver, gold)
+    return read_gold(spark, gold)
+
+
+def q_nearest_city_kept(spark, sf_dir):
+    """Cities by the kept table of quadkeys: filled from early tiles, extended by the quadkeys that only all tiles have."""
+    located, kept = locate(_bronze(spark, sf_dir), PROCESSED_AT), new_table_path(spark, "quadkeys")
+    with_kept_cities(located.filter(F.col("tile") < "1995"), _index(spark, sf_dir), kept)
+    return with_kept_cities(located, _index(spark, sf_dir), kept).select("quadkey", "tile", "city", "city_lookup_success")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Top 30 cities by mean download speed: scan, clean, locate, look up, aggregate."""
     return queries()["top_cities_download"](spark, _SMALL)
@@ -589,6 +612,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_two_sources": q_incremental_two_sources,
         "rerun_quarter": q_rerun_quarter,
         "catalog_silver": q_catalog_silver,
+        "gold_kept_up": q_gold_kept_up,
+        "nearest_city_kept": q_nearest_city_kept,
     }
 
 

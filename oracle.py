@@ -162,6 +162,15 @@ def statements() -> dict[str, str]:
     by_quarter = (
         _QUARTERED + "SELECT quarter, count(*) AS rows, CAST(sum(tests) AS BIGINT) AS total_tests FROM quartered GROUP BY quarter"
     )
+    gold = (
+        _SILVER
+        + """SELECT city, partition_year, partition_month, count(*) AS tile_count,
+  CAST(sum(tests) AS BIGINT) AS total_tests, CAST(sum(devices) AS BIGINT) AS total_devices,
+  sum(download_mbps * tests) / CAST(sum(tests) AS DOUBLE) AS avg_download_mbps,
+  sum(upload_mbps * tests) / CAST(sum(tests) AS DOUBLE) AS avg_upload_mbps,
+  CAST(sum(avg_lat_ms * tests) AS DOUBLE) / CAST(sum(tests) AS DOUBLE) AS avg_latency_ms
+  FROM silver GROUP BY city, partition_year, partition_month"""
+    )
     union = " UNION ALL ".join
     return {
         "scan_bronze": _BRONZE + "SELECT * FROM tiles",
@@ -292,13 +301,9 @@ def statements() -> dict[str, str]:
   upload_mbps, avg_lat_ms, data_quality_score, partition_year, partition_month FROM (SELECT * FROM silver
   ORDER BY quadkey, latitude, longitude, city, download_mbps, upload_mbps, avg_lat_ms, data_quality_score,
   partition_year, partition_month LIMIT 10)""",
-        "gold_city_month": _SILVER
-        + """SELECT city, partition_year, partition_month, count(*) AS tile_count,
-  CAST(sum(tests) AS BIGINT) AS total_tests, CAST(sum(devices) AS BIGINT) AS total_devices,
-  sum(download_mbps * tests) / CAST(sum(tests) AS DOUBLE) AS avg_download_mbps,
-  sum(upload_mbps * tests) / CAST(sum(tests) AS DOUBLE) AS avg_upload_mbps,
-  CAST(sum(avg_lat_ms * tests) AS DOUBLE) / CAST(sum(tests) AS DOUBLE) AS avg_latency_ms
-  FROM silver GROUP BY city, partition_year, partition_month""",
+        "gold_city_month": gold,
+        "gold_kept_up": gold,
+        "nearest_city_kept": _SILVER + _CITIES,
         "write_silver_roundtrip": _SILVER_ROWS,
         "write_flat_roundtrip": _with(
             _TILES,

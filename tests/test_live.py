@@ -8,7 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_lake import STAMP, TILES, index, places, same_rows  # noqa: F401
-from tilelake.plans import bronze_to_silver, to_silver
+from tilelake.operators import build_place_index
+from tilelake.operators.analytics import gold_city_month
+from tilelake.operators.geocode import with_cities
+from tilelake.plans import bronze_to_silver, locate, read_gold, refresh_gold, to_silver, with_kept_cities
 from tilelake.schemas import BRONZE, ORIGIN, PARTITION_COLUMNS
 from tilelake.sinks import drop_table, live, read_silver, register_silver, snapshot, write_silver, write_table
 from tilelake.sources import check_bronze, land_bronze, landed_files, read_landed, scan_bronze, scan_quarter, schema_report
@@ -181,3 +184,37 @@ def test_two_sources_and_lost_progress(spark, index, tmp_path):  # noqa: F811
         run(roots[0], "p0")
     write(spark, TILES[:1], f"{roots[0]}/c.parquet")
     assert run(roots[0], "new") == 6
+
+
+def test_gold_follows_silver(spark, index, tmp_path):  # noqa: F811
+    path, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    silver = to_silver(spark.createDataFrame(TILES, BRONZE), index, STAMP)
+
+    def same():
+        # sums of multiples of 1/1024 are exact
+        return same_rows(gold_city_month(read_silver(spark, path)), read_gold(spark, gold))
+
+    write_silver(silver, path)
+    assert refresh_gold(spark, path, gold) == 4 and same()
+    assert refresh_gold(spark, path, gold) == 0
+    write_silver(silver.filter("partition_year = '2020'").unionByName(silver.filter("partition_year = '2020'")), path, quarter="2020-q4")
+    assert refresh_gold(spark, path, gold) == 1 and same()
+    write_silver(silver.limit(0), path, quarter="2019-q1")
+    assert refresh_gold(spark, path, gold) == 0 and same() and read_gold(spark, gold).agg(F.sum("tile_count")).first()[0] == 3
+
+
+def test_only_unseen_quadkeys_are_looked_up(spark, index, places, tmp_path):  # noqa: F811
+    kept = str(tmp_path / "kept")
+    located = locate(spark.createDataFrame(TILES, BRONZE), STAMP)
+    expected = with_cities(located, index)
+
+    def added():
+        return sorted(r.rows for r in snapshot(spark, kept).filter("live").collect())
+
+    first = located.filter("quadkey < '2'")
+    assert same_rows(with_cities(first, index), with_kept_cities(first, index, kept)) and added() == [2]
+    for limit in (10**9, 0):
+        assert same_rows(expected, with_kept_cities(located, index, kept, limit)) and added() == [2, 2]
+    other = build_place_index(places.filter("name <> 'A'"))
+    assert same_rows(with_cities(located, other), with_kept_cities(located, other, kept)) and added() == [2, 2, 4]
+    assert with_kept_cities(located, None, kept).filter("city = 'Unknown'").count() == 4

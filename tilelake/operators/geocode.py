@@ -32,7 +32,9 @@ LEAF_PLACES = 16
 FIRST_LEVEL = 4
 MAX_LEVEL = 24
 MAX_PLACE_LEVEL = 24
-_PLACE_LEVEL_STEP = 2
+_PLACE_LEVEL_STEP = 4
+# A query cell is cut before its place cells are single places only above so many leaves' worth of them.
+_WIDE_REACH = 8
 # Cells with at most this many places are refined to single places in one round.
 _SMALL_CROWD = 64
 # Grids up to this level have at most 65,536 cells: small enough to broadcast always.
@@ -45,6 +47,10 @@ _PLACE_BYTES = 80
 # Bounds are compared with this margin, far above rounding errors and about 1 cm.
 _MARGIN = 2e-9
 _TIE_SCALE = 1e12
+# Known places that every other place in reach of a cell is held against, and the margin of
+# their bisectors, which keeps places whose distances may agree to within a tie.
+_RIVALS = 48
+_BISECTOR_MARGIN = 1e-10
 
 _LEAF = ["level", "cell_x", "cell_y"]
 
@@ -143,6 +149,11 @@ def _cells_in_reach(pairs: DataFrame) -> DataFrame:
     the subcell. Seen from afar L is small, so a distant dense cluster is reduced to
     the places on its near side without cutting the query cell.
 
+    A cell of a single place a is also held against the known places closest to q, each as
+    b: p is closer to b than to a where p.(b - a) > 0, and p.(b - a) is at least
+    q.(b - a) - R |b - a| in the subcell. So a leaf keeps the places that may own a part of
+    it, few of a cluster however dense, since from outside only its hull owns anything.
+
     Pairs are shuffled once, before they are multiplied: subcells stay with their
     parent cell, which also serves the windows. ``reach`` counts the place cells left
     to a subcell and ``crowd`` is the most places one of them holds.
@@ -161,12 +172,18 @@ def _cells_in_reach(pairs: DataFrame) -> DataFrame:
         .withColumns(_cell_geometry("q", "sub_level", "sub_x", "sub_y"))
         .withColumns({"center_distance": _distance("q", "c"), "distance": _distance("q", "known.p")})
         .withColumn("nearest", F.min(F.struct("distance", "known")).over(per_subcell))
+        .withColumn("rank", F.row_number().over(per_subcell.orderBy("distance", "known")))
+        .withColumn("rivals", F.collect_list(F.when(F.col("rank") <= _RIVALS, F.col("known"))).over(per_subcell))
     )
+    toward = " + ".join(f"q{axis} * (b.p{axis} - known.p{axis})" for axis in "xyz")
+    apart = " + ".join(f"(b.p{axis} - known.p{axis}) * (b.p{axis} - known.p{axis})" for axis in "xyz")
+    owns_nothing = f"n = 1 AND exists(rivals, b -> {toward} > q_radius * sqrt({apart}) + {_BISECTOR_MARGIN}D)"
     closest_way = "(center_distance + nearest.distance - 2D * q_radius)"
     return (
         distances.withColumn("apart", _distance("c", "nearest.known.p"))
         .withColumn("steepness", F.expr(f"if({closest_way} > 0D, least(2D, 2D * apart / {closest_way}), 2D)"))
         .filter(f"center_distance - nearest.distance <= steepness * q_radius + c_radius + {_MARGIN}D")
+        .filter(f"NOT ({owns_nothing})")
         .withColumns(
             {"reach": F.count(F.lit(1)).over(per_subcell), "crowd": F.max("n").over(per_subcell)}
         )
@@ -209,10 +226,10 @@ def build_place_index(
         )
         while True:
             reached = checkpointed(_cells_in_reach(pairs))
-            cuts = F.least(
-                F.when(F.col("reach") > 4 * leaf_places, 2).when(F.col("reach") > leaf_places, 1).otherwise(0),
-                F.lit(max_level) - F.col("level"),
-            )
+            # cells of several places are refined first: of a crowd few places may be left, and then no cut is needed
+            wanted = F.when((F.col("crowd") > 1) & F.lit(level < MAX_PLACE_LEVEL), F.when(F.col("reach") > _WIDE_REACH * leaf_places, 1).otherwise(0))
+            wanted = wanted.when(F.col("reach") > 16 * leaf_places, 3).when(F.col("reach") > 4 * leaf_places, 2).when(F.col("reach") > leaf_places, 1).otherwise(0)
+            cuts = F.least(wanted, F.lit(max_level) - F.col("level"))
             is_leaf = (cuts == 0) & ((F.col("crowd") == 1) | F.lit(level >= MAX_PLACE_LEVEL))
             leaves.append(_places_of(reached.filter(is_leaf), places, level))
             open_pairs = reached.filter(~is_leaf).select(
