@@ -186,6 +186,64 @@ def test_toxicity_learns_and_scores(spark):
     assert toxicity.classify(docs.limit(0), labels).count() == 0
 
 
+def _kneser_ney(texts, other):
+    """The probability of a word after another by the definition, from dictionaries only."""
+    count = lambda ts: Counter(p for t in dict.fromkeys(ts) for p in zip([b"\n", *words_of(t)], words_of(t)))
+    own, both = count(texts), count(texts).keys() | count(other).keys()
+    vocabulary = {w for p in both for w in p} | {b"\n"}
+    d = toxicity.DISCOUNT
+
+    def shared(w):
+        spare = d * len({b for _, b in both}) / len(both)
+        return max(sum(b == w for _, b in both) - d, 0) / len(both) + spare / (len(vocabulary) + 1)
+
+    def word(w):
+        left = d * len({b for _, b in own}) / len(own)
+        return max(sum(b == w for _, b in own) - d, 0) / len(own) + left * shared(w)
+
+    def pair(v, w):
+        after = {b: n for (a, b), n in own.items() if a == v}
+        n = sum(after.values())
+        return max(after.get(w, 0) - d, 0) / n + d * len(after) / n * word(w) if n else word(w)
+
+    return pair
+
+
+def test_toxicity_difference_is_that_of_two_kneser_ney_models():
+    toxic, ordinary = ["you fool you", "a fool of the worst", "you you", "you you"], ["the words of a text", "a text of words", "", "you"]
+    model = toxicity.Model(toxic, ordinary)
+    p = _kneser_ney(toxic, ordinary), _kneser_ney(ordinary, toxic)
+    for text in [*toxic, *ordinary, "text you fool the a", "worst the worst you", "fool a"]:
+        tokens = words_of(text)
+        expected = sum(math.log(p[0](v, w) / p[1](v, w)) for v, w in zip([b"\n", *tokens], tokens)) / max(1, len(tokens))
+        assert abs(model.features(text)[1] - expected) < 1e-9, text
+    assert model.features(None) == model.features(" \n") == [1.0] + [0.0] * (len(model.curve) - 1)
+    assert abs(model.features("new newer")[1] - model.unseen - model.contexts[0] / 2) < 1.0
+
+
+@pytest.mark.parametrize("marks", [20, 300])
+def test_toxicity_by_many_rare_expressions(spark, marks):
+    """Toxic documents hold two of many expressions, so that each is seen in a few documents only."""
+    rng = random.Random(marks)
+    given = []
+    for i in range(4000):
+        text, bad = [f"w{rng.randrange(3000)}" for _ in range(80)], int(rng.random() < 0.5)
+        for _ in range(2 * bad):
+            text[rng.randrange(80)] = f"mark{rng.randrange(marks)}"
+        given.append((i, " ".join(text), bad))
+    df = spark.createDataFrame(given, "doc_id long, text string, toxic int")
+    found = toxicity.classify(df, df.select("doc_id", "toxic")).filter("held_out").collect()
+    bad = [r["predicted"] for r in found if r["toxic"]]
+    assert sum(bad) >= 0.9 * len(bad) and sum(r["predicted"] for r in found if not r["toxic"]) <= 0.02 * len(found)
+
+
+def test_toxicity_of_odd_columns_and_very_long_texts(spark):
+    given = [(i, ("fool " if i % 2 else "fine ") * 40, ("x",), 0.5) for i in range(40)] + [(99, "word " * 200_000, None, None)]
+    df = spark.createDataFrame(given, "doc_id long, `a.text` string, `s t` struct<`in side`: string>, Score double")
+    found = toxicity.classify(df, df.selectExpr("doc_id", "cast(doc_id % 2 as int) toxic"), text_col="a.text")
+    assert found.columns == ["doc_id", "a.text", "s t", "held_out", "score", "predicted"] and found.count() == 41
+
+
 # --- Katz ----------------------------------------------------------------------------
 
 
