@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import os
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +14,7 @@ import __spark_entry__ as driver
 import corpus_pipeline
 from tests.compare import difference, duckdb_connection
 from tests.llm.data import bag, frame, rows
-from tilelake.llm import licenses, mixing, queries, topk
+from tilelake.llm import licenses, mixing, queries, simhash, topk
 
 DATA = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="the provided tables are not here")
@@ -73,6 +76,58 @@ def test_scan(spark):
     assert licenses.scan(frame(spark)).count() == len(rows()) and licenses.scan(frame(spark, [])).count() == 0
 
 
+_HEADERS = {
+    "apache-2.0-text": "# Unless required by applicable law or agreed to in writing, software\n# distributed under the License is distributed on an AS IS basis",
+    "gpl-text": " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU\n * General Public License as published",
+    "lgpl": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense",
+    "agpl": "you can redistribute it and/or modify it under the terms of the\nGNU Affero General Public License",
+    "bsd": "// Redistribution and use in source and binary forms, with or without\n// modification, are permitted provided",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted",
+    "mit-text": "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and",
+    "bsd-notice": "Released under the BSD license",
+    "mit-notice": "Released under the MIT license",
+    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
+    "cc-by-nc-sa-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-4.0": "Licensed under\nCC BY\n4.0",
+    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0.",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3",
+}
+
+
+def _brute(text):
+    """Labels of notices by every block of every document."""
+    words = [w for w in re.split(licenses.SEPARATORS, (text or "").translate({i: i + 32 for i in range(65, 91)})) if w]
+    out = set()
+    for notice, label in licenses.NOTICES.items():
+        wanted, width = set(notice.split()), math.ceil(licenses.BLOCK * len(notice.split()))
+        for s in range(len(words)):
+            block = words[s : s + width]
+            line = f" {' '.join(block)} "
+            if len(wanted & set(block)) >= math.ceil(len(wanted) * 0.8 - 1e-9) and all(f" {m} " in line for m in licenses.MUST[label].split(",")):
+                out.add(label)
+    return out
+
+
+def test_scan_of_wrapped_headers_gives_one_notice_each(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "PIECE", 7)
+    rng = random.Random(4)
+    vocabulary = sorted({w for t in licenses.NOTICES for w in t.split()}) + ["x", "Äx", "w\u212a"]
+    given = [(label, "word " * (n % 40) + text + " word" * 30) for n, (label, text) in enumerate(_HEADERS.items())]
+    for n in range(60):  # parts of notices, with words left out, put in, and swapped
+        words = rng.choice(sorted(licenses.NOTICES)).split()
+        for _ in range(rng.randrange(5)):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        given.append((None, rng.choice([" ", "\n", "-"]).join(words * rng.choice([1, 1, 2]) + rng.choices(vocabulary, k=20))))
+    given += [(None, "licensed under the license of the software " * 3000), (None, "released under the mit"), (None, None)]
+    df = spark.createDataFrame([(i, label, t) for i, (label, t) in enumerate(given)], "doc_id long, `the.label` string, text string")
+    for r in licenses.scan(df).collect():
+        extra = set(r["labels"].split(",")) - set(r["base_labels"].split(","))
+        assert extra == _brute(given[r["doc_id"]][1]), given[r["doc_id"]]
+        if r["the.label"]:
+            assert extra == {r["the.label"]}
+
+
 # --- top k ---------------------------------------------------------------------------
 
 
@@ -122,3 +177,15 @@ def test_stages_keep_the_columns_and_take_effect(spark):
 def test_one_document_of_a_group_stays(spark):
     near = spark.createDataFrame([(5, "a b c d e", "en", "s", 9), (3, "a b c d e", "en", "s", 9), (3, "a b c d e", "en", "s", 9), (8, None, None, None, None), (9, "", None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
     assert bag(corpus_pipeline.drop_near_duplicates(spark, near, DATA), "doc_id") == [(3,), (8,)]
+
+
+def test_components_without_ids_and_texts_under_one_id(spark):
+    one, other, third = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    given = [(None, one), (5, one), (None, other), (None, other), (7, third), (7, third.replace("c59", "z")), (7, third), (6, third)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in given], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, DATA)
+    # one row of each component, the one of smallest id; without any id, one of its texts
+    near = simhash.near_duplicates(docs.filter("doc_id is not null")).filter("doc_id = 7").select("component_id").distinct().count()
+    assert bag(kept, "doc_id", "text")[:1] == [(5, one)] and (None, other) in bag(kept, "doc_id", "text")
+    assert kept.count() == 3 + (near - 1) and kept.filter("doc_id is null").count() == 1
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), DATA).count() == 0

@@ -254,7 +254,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True
+    docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True, group_col: str | None = None
 ) -> DataFrame:
     """``docs`` with fingerprint (16 hex digits) and component_id, the smallest id of its component.
 
@@ -262,9 +262,10 @@ def near_duplicates(
     fingerprint zero, linked like any other. A null id takes part in links, but is no component's id unless the
     component has no other. Repeated rows stay, each with the same result. An empty table gives an empty result. Result columns
     replace input columns of the same name. Without ``keep_text`` the texts are read once and not carried along.
+    ``group_col`` names a further column that tells components apart, those without any id as well.
     """
-    kept = [c for c in docs.columns if c.lower() not in {"fingerprint", "component_id"}]
-    fp, root, least, id_ = free_names(docs, "_fp", "_root", "_least", "_id")
+    kept = [c for c in docs.columns if c.lower() not in {"fingerprint", "component_id", (group_col or "fingerprint").lower()}]
+    fp, root, least, id_, group = free_names(docs, "_fp", "_root", "_least", "_id", "_group")
     marked = with_fingerprints(docs.select(*kept, F.col(id_col).alias(id_)), fp, text_col, shingle)
     if keep_text:
         ids = checkpointed(marked.select(fp, id_))
@@ -275,9 +276,10 @@ def near_duplicates(
     roots = components(near_edges(distinct.select("fp"), distance))
     placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("id").alias("least"))
-    members = placed.select("fp", "root").join(smallest, "root").select(F.col("fp").alias(root), F.col("least").alias(least))
+    members = placed.select("fp", "root").join(smallest, "root").select(F.col("fp").alias(root), F.col("least").alias(least), F.col("root").alias(group))
     out = marked.join(checkpointed(members), F.col(fp) == F.col(root))
-    return out.select(*kept, F.lower(F.lpad(F.hex(fp), 16, "0")).alias("fingerprint"), F.col(least).alias("component_id"))
+    more = [F.col(group).alias(group_col)] if group_col else []
+    return out.select(*kept, F.lower(F.lpad(F.hex(fp), 16, "0")).alias("fingerprint"), F.col(least).alias("component_id"), *more)
 
 
 def op1(spark, sf_dir) -> DataFrame:
