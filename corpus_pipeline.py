@@ -23,16 +23,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each component, one row of it where rows repeat.
+    """One row of each component: that of smallest id and, of several texts under it, of smallest digest.
 
-    Fingerprints are compared on narrow rows; texts are shuffled once, by id. Documents without an id stay, but for exact copies,
-    if their component has no id at all.
+    Fingerprints are compared on narrow rows; texts are shuffled once, by id and digest. A component without any id keeps
+    one of its texts, and of repeated rows one stays.
     """
-    found = simhash.near_duplicates(docs.select("doc_id", "text"), keep_text=False)
-    keepers = found.select(F.col("component_id").alias("keeper")).distinct()
-    kept = docs.join(keepers, docs["doc_id"].eqNullSafe(keepers["keeper"]), "left_semi")
-    same = F.xxhash64("text")
-    return kept.withColumn("_same", same).dropDuplicates(["doc_id", "_same"]).select(*COLUMNS)
+    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))  # null for a null text
+    docs = docs.select(*COLUMNS, digest.alias("_digest"))
+    found = simhash.near_duplicates(docs.select("doc_id", "text", "_digest"), keep_text=False, group_col="_group")
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("keeper"), F.col("_digest").alias("of")))
+    chosen = found.groupBy("_group").agg(first.alias("x")).select("x.keeper", "x.of")
+    same = docs["doc_id"].eqNullSafe(chosen["keeper"]) & docs["_digest"].eqNullSafe(chosen["of"])
+    return docs.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "_digest"]).select(*COLUMNS)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
