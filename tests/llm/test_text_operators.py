@@ -124,14 +124,16 @@ def test_gradients_of_the_tagger():
 
 
 def test_find_and_redact(spark):
-    found = {r["doc_id"]: r for r in pii.find(frame(spark)).collect()}
+    found = {r["doc_id"]: r for r in pii.find(frame(spark), rounds=30).collect()}
     row = next(r for r in found.values() if r["n_email"])
     assert (row["n_email"], row["n_ip"], row["n_card"], row["n_phone"]) == (1, 1, 0, 1)
     assert row["spans"].startswith("email:29:46,ip:48:62") and "text" not in row.asDict()
-    clean = {r["doc_id"]: r for r in pii.find(frame(spark), redact=True).collect()}
+    clean = {r["doc_id"]: r for r in pii.find(frame(spark), redact=True, rounds=30).collect()}
     assert "<EMAIL>" in clean[row["doc_id"]]["text"] and clean[40]["text"] is None
     assert all(r["text"] is None or r["n_chars"] == len(r["text"]) for r in clean.values())
     assert pii.find(frame(spark, [])).count() == 0
+    odd = frame(spark).withColumn("a.b c", F.lit(1))
+    assert "a.b c" in pii.find(odd, rounds=1).columns
     assert pii.redacted("ab cd ef", [(0, 0, 2), (1, 1, 5), (2, 6, 8)]) == "<EMAIL> <PHONE>".replace("PHONE", "CARD")
 
 
@@ -158,14 +160,22 @@ def test_model_finds_each_kind_beside_copies_and_years(spark):
     assert len(set(sample)) == len({r[2] for r in sample}) == len(sample)
     assert sample == pii._sample(docs.repartition(3), "text")
     model = pii.train_model(sample)
-    rewritten = {0: lambda s: s.replace("@", " @ "), 1: lambda s: s.replace(".", " . "), 2: lambda s: s.replace(" ", "."), 3: lambda s: "(" + s[3:6] + ") " + s[7:].replace(" ", "-")}
-    for kind, how in rewritten.items():
-        spans = [how(_personal(rng, kind)) for _ in range(40)]
+    number = lambda *sizes: [str(rng.randrange(10 ** (n - 1), 10**n)) for n in sizes]
+    user = lambda: rng.choice(["rita", "paul.lang", "m_okafor", "x7", "vera.holm"]) + rng.choice(["", "", "31", "4"])
+    host = lambda: rng.choice(["uni", "corp-mail", "department.law", "gruen", "post.kvk9"]) + rng.choice([".edu", ".net", ".ac.uk", ".org", ".fr"])
+    unseen = {  # no host, user or number of the table
+        0: [lambda: f"{user()} @ {host()}", lambda: f"{user()}(@){host()}", lambda: f"{user()} [at] {host()}", lambda: f"{user()}@{host()}".replace(".", " . "),
+            lambda: f"{user()} at {host()}".replace(".", " dot ")],
+        1: [lambda: " . ".join(str(rng.randrange(256)) for _ in range(4)), lambda: "-".join(str(rng.randrange(256)) for _ in range(4))],
+        2: [lambda: _personal(rng, 2).replace(" ", "."), lambda: _personal(rng, 2).replace(" ", "  ")],
+        3: [lambda: "({}) {}-{}".format(*number(3, 3, 4)), lambda: "00{} {} {}".format(*number(2, 3, 6)), lambda: "({}) {}-{}".format(*number(3, 3, 4)).translate({48 + d: 0xFF10 + d for d in range(10)})],
+    }
+    for kind, forms in unseen.items():
+        spans = [forms[i % len(forms)]() for i in range(60)]
         given = [f"from {1950 + i} {prose(500 + i, 30)} {s} {prose(700 + i, 9)}" for i, s in enumerate(spans)]
-        assert not any(pii.base_spans(t) and kind != 0 for t in given)
-        found = pii.model_spans(model, given)
+        found = [b for _, b in pii.all_spans(given, model)]
         right = sum((kind, t.index(s), t.index(s) + len(s)) in f for t, s, f in zip(given, spans, found))
-        assert right >= 30, (pii.KINDS[kind], right)
+        assert right >= 54, (pii.KINDS[kind], right)
     assert sum(map(len, pii.model_spans(model, [f"in {1900 + i} {prose(900 + i, 30)}" for i in range(100)]))) <= 2
 
 

@@ -2,8 +2,11 @@
 
 The model is trained in the driver from spans that the base patterns label in a bounded sample of windows (distinct
 ones, as many of each kind, and as many without a span), and from rewritten forms of these spans that the patterns miss. Whole texts are then read in overlapping windows; each character takes its tag from the window
-in whose middle it stands most, and spans are read from the joined tags. By definition a span of any kind holds a digit or
-an @, so a window without either is outside as a whole and is not computed.
+in whose middle it stands most, and spans are read from the joined tags. Windows without a cue (a digit of any script, an @,
+an "at" in brackets or a "dot" written out) hold no span of any kind and are not computed.
+
+The rewritten forms carry made-up users, hosts, digits and lengths besides those of the table, so that the model learns the
+shape of a span and not the values it was shown.
 """
 
 from __future__ import annotations
@@ -11,22 +14,28 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql.types import LongType, StringType, StructType
 
 from tilelake.llm import lstm_crf
-from tilelake.llm.common import documents
+from tilelake.llm.common import column, documents, partitions
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
 #: Characters of a window and between windows; windows computed at a time; windows of the training sample.
 WIDTH, STRIDE, AT_ONCE, SAMPLE = 64, 32, 512, 1200
-#: Of the sample, the part of each kind and of windows without a span; characters before and after a sampled place; tasks that merge samples.
+#: Of the sample, the part of each kind and of windows without a span; characters before and after a sampled place; tasks of the last round that merges samples.
 SHARE, BEFORE, AFTER, MERGERS = SAMPLE // (len(KINDS) + 1), 3 * STRIDE, 2 * STRIDE, 8
+#: Training windows of each kind, and of those without a span: addresses have the most forms.
+SHOWN = (2400, 600, 600, 900, 300)
+#: Steps of the training.
+ROUNDS = 700
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _HOST = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 # greedy digits end a match at the end of their run, so a match can start at the start of a run only
@@ -34,6 +43,10 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SIGN = re.compile(r"[0-9@]")
+# what a span that the model may find holds at least: see _cloaked()
+_CUE = re.compile(r"[\d@]|\bdot\b|[\[({]at[\])}]", re.IGNORECASE)
+_AT = re.compile(r"@|[\[({]at[\])}]|\sat\s", re.IGNORECASE)
+_DOT = re.compile(r"\.|\bdot\b", re.IGNORECASE)
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 
@@ -84,9 +97,14 @@ def _barred() -> np.ndarray:
     return out
 
 
+def _plain_digits(text: str) -> str:
+    """``text`` with the digits of other scripts as ASCII ones."""
+    return text if text.isascii() else "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text)
+
+
 def _symbols(text: str) -> np.ndarray:
     """One symbol a character: ASCII as it is but digits and letters' case told apart by class, others by kind."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = np.frombuffer(_plain_digits(text).encode("utf-32-le", "surrogatepass"), np.uint32)
     out = np.where(codes < 128, codes, 128).astype(np.int64)
     out[(codes >= 48) & (codes <= 57)] = 48
     upper = (codes >= 65) & (codes <= 90)
@@ -97,16 +115,65 @@ def _symbols(text: str) -> np.ndarray:
 _N_SYMBOLS = 130  # 129 fills the last window
 
 
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def _name(rng: random.Random, least: int, most: int) -> str:
+    """Letters, or vowels and consonants in turn, some with digits behind them or a capital."""
+    size, sets = rng.randint(least, most), rng.choice([(_LETTERS, _LETTERS), ("bcdfghklmnprstvw", "aeiou")])
+    name = "".join(rng.choice(sets[i % 2]) for i in range(size))
+    name = name.capitalize() if rng.random() < 0.15 else name
+    return name + (str(rng.randrange(10 ** rng.randint(1, 4))) if rng.random() < 0.25 else "")
+
+
+def _address(rng: random.Random) -> str:
+    """A made-up mail address of any common shape."""
+    user = rng.choice(["", ".", "_", "-"]).join(_name(rng, 1, 9) for _ in range(rng.randint(1, 2)))
+    host = [rng.choice(["", "-"]).join(_name(rng, 1, 10) for _ in range(rng.choice((1, 1, 1, 2)))) for _ in range(rng.choice((1, 1, 1, 2, 2, 3)))]
+    return f"{user}@{'.'.join(host)}.{''.join(rng.choice(_LETTERS) for _ in range(rng.choice((2, 2, 3, 3, 3, 4, 5))))}"
+
+
+def _cloaked(rng: random.Random, address: str) -> str:
+    """An address with its @ or dots parted, bracketed or written out."""
+    user, host = address.split("@")
+    how = rng.randrange(9)
+    if how < 3:
+        return user + rng.choice([" @ ", "(@)", "[@]", " (@) ", "@ ", " @"]) + host
+    if how < 5:
+        return address.replace(".", " . ") if how == 3 else f"{user} @ {host.replace('.', ' . ')}"
+    opened, closed = rng.choice(["[]", "()", "{}"])
+    space = rng.choice(["", " "])
+    at, dot = (f"{space}{opened}{w}{closed}{space}" for w in ("at", "dot"))
+    if how == 5:
+        return user + at + host
+    if how == 6:
+        return user + at + host.replace(".", dot)
+    if how == 7:
+        return f"{user} at {host.replace('.', ' dot ')}"
+    return user.replace(".", " dot ") + " at " + host.replace(".", " dot ")
+
+
 def _rewritten(rng: random.Random, kind: int, span: str) -> str:
-    """A form of a span that people use to hide it, or to write it another way."""
+    """A form of a span that people use to hide it, or to write it another way; most carry another value."""
+    new = rng.random() < 0.75
     if kind == 0:
-        return rng.choice([span, span.replace("@", " @ "), span.replace("@", "(@)"), span.replace(".", " . ")])
+        address = _address(rng) if new else span
+        return address if rng.random() < 0.12 else _cloaked(rng, address)
     if kind == 1:
-        return rng.choice([span, span.replace(".", " . "), span.replace(".", "-")])
-    digits = re.sub("[^0-9]", "", span)
+        address = ".".join(str(rng.randrange(10 ** rng.randint(1, 3)) % 256) for _ in range(4)) if new else span
+        return address.replace(".", rng.choice([".", " . ", "-", ". ", " - ", "[.]"]))
+    digits = _NOT_DIGIT.sub("", span)
     if kind == 2:
-        return rng.choice([span, ".".join(digits[i : i + 4] for i in range(0, len(digits), 4)), "  ".join(digits[i : i + 4] for i in range(0, len(digits), 4))])
-    return rng.choice([span, "00" + digits, f"({digits[1:4]}) {digits[4:7]}-{digits[7:]}", f"{digits[1:4]}-{digits[4:7]}-{digits[7:]}"])
+        if new:
+            digits = rng.choice("3456") + "".join(rng.choice("0123456789") for _ in range(rng.choice((14, 14, 14, 15, 16, 17))))
+            digits += next(d for d in "0123456789" if _luhn(digits + d))
+        return rng.choice([".", "  ", " ", "-", " - ", ""]).join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    if new:
+        digits = str(rng.randrange(1, 99)) + "".join(rng.choice("0123456789") for _ in range(rng.choice((9, 10, 10, 10))))
+    part = rng.choice(["-", " ", "."])
+    return rng.choice([f"+{digits[:-9]} {digits[-9:-6]} {digits[-6:-3]} {digits[-3:]}", "00" + digits[:-9] + f" {digits[-9:-6]} {digits[-6:]}",
+        f"00{digits[:-9]}{part}{digits[-9:-6]}{part}{digits[-6:-3]}{part}{digits[-3:]}", f"({digits[-10:-7]}) {digits[-7:-4]}{part}{digits[-4:]}",
+        f"{digits[-10:-7]}{part}{digits[-7:-4]}{part}{digits[-4:]}"])
 
 
 def _labelled(text: str) -> Iterator[tuple[int, str, int, str]]:
@@ -128,7 +195,7 @@ def _labelled(text: str) -> Iterator[tuple[int, str, int, str]]:
         inside = ",".join(f"{x - start}:{min(y, end) - start}:{k}" for x, y, k in spans[first : last + 1])
         yield kind, text[start:end], a - start, inside
     at = i = 0
-    while sign := _SIGN.search(text, at):
+    while sign := _CUE.search(text, at):
         place = sign.start()
         while i < len(spans) and spans[i][1] <= place - BEFORE:
             i += 1
@@ -160,7 +227,8 @@ def _least(rows: Iterable[tuple]) -> list[tuple]:
 def _sample(docs: DataFrame, text_col: str) -> list[tuple]:
     """Distinct windows around base spans, and some without any, those of least hash over all documents: SHARE a kind at most.
 
-    Tasks pass on no more than the sample's size each, and as such samples merge in any order, rows are dealt out evenly for it.
+    Tasks pass on no more than the sample's size each; as such samples merge in any order, they are merged in rounds, each by a
+    sixteenth of the tasks of the round before, so that no task reads more than some samples however many tasks there are.
     """
     types = (pa.int32(), pa.int64(), pa.string(), pa.int32(), pa.string())
 
@@ -177,27 +245,33 @@ def _sample(docs: DataFrame, text_col: str) -> list[tuple]:
         yield batch_of(_least(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))))
 
     schema = "kind int, h long, w string, place int, spans string"
-    rows = docs.select(text_col).mapInArrow(windows, schema).repartition(MERGERS).mapInArrow(merged, schema).collect()
-    return _least(map(tuple, rows))
+    found, tasks = docs.select(column(text_col).alias("text")).mapInArrow(windows, schema), max(MERGERS, partitions(docs.sparkSession))
+    while True:
+        found = found.repartition(tasks).mapInArrow(merged, schema)
+        if tasks <= MERGERS:
+            return _least(map(tuple, found.collect()))
+        tasks = max(MERGERS, tasks // 16)
 
 
-def train_model(sample: list[tuple]) -> dict | None:
-    """A model from rows of _sample(); None without any. Every kind that has windows is shown equally often."""
+def train_model(sample: list[tuple], rounds: int = ROUNDS) -> dict | None:
+    """A model from rows of _sample(); None without any. Kinds are shown by SHOWN, however often the table has them, each time written anew."""
     if not sample:
         return None
     rng, symbols, tags = random.Random(7), [], []
     strata: dict[int, list[tuple]] = {}
     for row in sample:
         strata.setdefault(row[0], []).append(row)
-    for _, _, text, place, inside in (rows[i % len(rows)] for rows in strata.values() for i in range(SHARE)):
+    for _, _, text, place, inside in (rows[i % len(rows)] for kind, rows in strata.items() for i in range(SHOWN[kind])):
         pieces, marks, at, focus = [], [], 0, place
         for a, b, kind in (map(int, s.split(":")) for s in inside.split(",") if s):
             span = _rewritten(rng, kind, text[a:b])
-            pieces += [text[at:a], span]
-            marks += [0] * (a - at)
+            # brackets and marks beside a span are not of it
+            before, after = rng.choice([("", "")] * 4 + [("", "."), ("", ","), ("(", ")"), ("<", ">"), (": ", ";")])
+            pieces += [text[at:a], before, span, after]
+            marks += [0] * (a - at + len(before))
             if a == place:
                 focus = len(marks)
-            marks += [1 + 2 * kind] + [2 + 2 * kind] * (len(span) - 1)
+            marks += [1 + 2 * kind] + [2 + 2 * kind] * (len(span) - 1) + [0] * len(after)
             at = b
         whole = "".join(pieces) + text[at:]
         marks += [0] * (len(whole) - len(marks))
@@ -205,14 +279,15 @@ def train_model(sample: list[tuple]) -> dict | None:
         part = _symbols(whole[start : start + WIDTH])
         symbols.append(np.pad(part, (0, WIDTH - len(part)), constant_values=_N_SYMBOLS - 1))
         tags.append(np.pad(np.array(marks[start : start + WIDTH], np.int64), (0, WIDTH - len(part))))
-    return lstm_crf.train(np.stack(symbols), np.stack(tags), _N_SYMBOLS, _barred())
+    return lstm_crf.train(np.stack(symbols), np.stack(tags), _N_SYMBOLS, _barred(), rounds)
 
 
 def _plausible(kind: int, span: str) -> bool:
     """A last check of what the model found."""
+    span = _plain_digits(span)
     digits = _NOT_DIGIT.sub("", span)
     if kind == 0:
-        return "@" in span.strip("@ ") and "." in span
+        return bool(_AT.search(span, 1)) and bool(_DOT.search(span))
     if kind == 1:
         parts = [p for p in _NOT_DIGIT.split(span) if p]
         return len(parts) == 4 and all(int(p) <= 255 for p in parts if len(p) < 4) and all(len(p) < 4 for p in parts)
@@ -222,12 +297,13 @@ def _plausible(kind: int, span: str) -> bool:
 
 
 def _windows_of(text: str) -> list[int]:
-    """Starts of the windows that hold a digit or an @."""
+    """Starts of the windows in which a cue begins."""
     last = max(0, -(-(len(text) - WIDTH) // STRIDE))
     wanted: set[int] = set()
-    for m in _SIGN.finditer(text):
+    for m in _CUE.finditer(text):
         i = m.start() // STRIDE
-        wanted.update(j for j in (i - 1, i) if 0 <= j <= last)
+        near = (i - 1, i) if m.group().isdecimal() else (i - 2, i - 1, i, i + 1)  # an address goes on to both sides of its cue
+        wanted.update(j for j in near if 0 <= j <= last)
         if i > last:
             wanted.add(last)
     return [j * STRIDE for j in sorted(wanted)]
@@ -267,7 +343,7 @@ def model_spans(model: dict, texts: list[str]) -> list[list[tuple[int, int, int]
         if kind >= 0:
             spans.append((kind, first, last + 1))
         trimmed = ((k, a + len(text[a:b]) - len(text[a:b].lstrip()), b - len(text[a:b]) + len(text[a:b].rstrip())) for k, a, b in spans)
-        out.append([(k, a, b) for k, a, b in trimmed if a < b and _SIGN.search(text, a, b) and _plausible(k, text[a:b])])
+        out.append([(k, a, b) for k, a, b in trimmed if a < b and _plausible(k, text[a:b])])
     return out
 
 
@@ -299,17 +375,17 @@ def redacted(text: str, spans: list) -> str:
     return "".join(pieces) + text[at:]
 
 
-def find(docs: DataFrame, text_col: str = "text", redact: bool = False) -> DataFrame:
+def find(docs: DataFrame, text_col: str = "text", redact: bool = False, rounds: int = ROUNDS) -> DataFrame:
     """``docs`` with n_email, n_ip, n_card, n_phone and base_sha256 of the base spans, and all spans.
 
     Without ``redact`` the text is left out; with it, text has its spans replaced and n_chars is
     its new length. Null and empty texts have no spans (a null text stays null when redacting). Rows
     are read each by itself, repeated rows alike; other columns are passed on and result columns replace those of the same name. Without
-    any digit or @ in the table there is no model and nothing to find.
+    any cue in the table there is no model and nothing to find.
     """
     results = {**{f"n_{k}": pa.int64() for k in KINDS}, "base_sha256": pa.string(), "spans": pa.string()}
     kept = [c for c in docs.columns if c.lower() not in results and c != text_col and not (redact and c.lower() == "n_chars")]
-    model = docs.sparkSession.sparkContext.broadcast(train_model(_sample(docs, text_col)))
+    model = docs.sparkSession.sparkContext.broadcast(train_model(_sample(docs, text_col), rounds))
     names = [*kept, *([text_col, "n_chars"] if redact else []), *results]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,10 +403,13 @@ def find(docs: DataFrame, text_col: str = "text", redact: bool = False) -> DataF
                 columns.append(pa.array([_joined(every) for _, every in spans], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
-    fields += [f"`{text_col}` string", "n_chars long"] if redact else []
-    fields += [*(f"n_{k} long" for k in KINDS), "base_sha256 string", "spans string"]
-    return docs.select(*kept, text_col).mapInArrow(run, ", ".join(fields))
+    schema = StructType([docs.schema[c] for c in kept])
+    if redact:
+        schema = schema.add(text_col, StringType()).add("n_chars", LongType())
+    for c, t in results.items():
+        schema = schema.add(c, LongType() if t == pa.int64() else StringType())
+    # plain names on the way in: mapInArrow reads a dot as a path
+    return docs.select(*(column(c).alias(f"c{i}") for i, c in enumerate([*kept, text_col]))).mapInArrow(run, schema)
 
 
 def op7(spark, sf_dir) -> DataFrame:
