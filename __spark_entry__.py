@@ -28,6 +28,7 @@ from tilelake.operators import (  # noqa: E402
     boxes,
     geocode,
     layout,
+    polygons,
     quality,
 )
 from tilelake.plans import bronze_to_silver, locate, read_gold, refresh_gold, to_silver, with_kept_cities  # noqa: E402
@@ -375,6 +376,14 @@ def q_tiles_in_box(**how):
     return run
 
 
+def q_tiles_in_polygons(**how):
+    def run(spark, sf_dir):
+        located = locate(_bronze(spark, sf_dir), PROCESSED_AT)
+        return polygons.tiles_in_polygons(located, fixtures.polygons(fixtures.gazetteer(spark, sf_dir)), **how)
+
+    return run
+
+
 # --- analytics -------------------------------------------------------------------
 
 
@@ -589,6 +598,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "city_unavailable": q_city_unavailable,
         "tiles_in_box": q_tiles_in_box(),
         "tiles_in_box_shuffled": q_tiles_in_box(max_broadcast_bytes=0),
+        "tiles_in_polygons": q_tiles_in_polygons(),
+        "tiles_in_polygons_shuffled": q_tiles_in_polygons(max_broadcast_bytes=0),
         "city_stats": _city_stats,
         "city_stats_sample": q_city_stats_sample,
         "city_dict_agg": q_city_dict_agg,

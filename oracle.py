@@ -5,7 +5,7 @@ Nearest places are found by comparing every distinct location with every place.
 
 from __future__ import annotations
 
-from tilelake.fixtures import DUCKDB_DIALECT, GAZETTEER_SQL, TILES_SQL
+from tilelake.fixtures import DUCKDB_DIALECT, GAZETTEER_SQL, RINGS, TILES_SQL
 
 _CLEAN = """length(trim(quadkey)) BETWEEN 1 AND 30 AND avg_d_kbps > 0 AND avg_u_kbps > 0
   AND avg_lat_ms >= 0 AND tests > 0 AND devices > 0"""
@@ -159,6 +159,25 @@ def statements() -> dict[str, str]:
        OR (glon + 4e0 > 180e0 AND longitude <= glon + 4e0 - 360e0))
   GROUP BY name"""
     )
+    edges = ", ".join(
+        f"({a[0]}e0, {a[1]}e0, {b[0]}e0, {b[1]}e0)" for ring in RINGS for a, b in zip(ring, (*ring[1:], ring[0]))
+    )
+    # every tile against every edge, longitudes counted from the place
+    in_polygon = (
+        _with(
+            _TILES, _GAZETTEER, _CLEANED, _LOCATED,
+            ("shapes", "SELECT *, 2e0 + ((CAST(floor(glat) AS BIGINT) % 5) + 5) % 5 AS size FROM gazetteer"),
+            ("edges", f"SELECT name, glon, size, glat, size*u1 AS x1, glat + size*v1 AS y1, size*u2 AS x2, glat + size*v2 AS y2 "
+                      f"FROM shapes, (VALUES {edges}) AS e(u1, v1, u2, v2)"),
+            ("spots", "SELECT latitude, longitude, count(*) AS tiles, sum(tests) AS tests FROM located GROUP BY ALL"),
+            ("near", "SELECT *, longitude - glon + CASE WHEN longitude - glon > 180e0 THEN -360e0 WHEN longitude - glon < -180e0 "
+                     "THEN 360e0 ELSE 0e0 END AS x FROM spots JOIN edges ON latitude < y1 + 12e0"),
+            ("inside", "SELECT name, latitude, longitude, any_value(tiles) AS tiles, any_value(tests) AS tests FROM near "
+                       "WHERE (x1 > x) <> (x2 > x) AND latitude < y1 + (x - x1) * (y2 - y1) / (x2 - x1) "
+                       "GROUP BY name, latitude, longitude HAVING count(*) % 2 = 1"),
+        )
+        + "SELECT name, CAST(sum(tiles) AS BIGINT) AS tile_count, CAST(sum(tests) AS BIGINT) AS total_tests FROM inside GROUP BY name"
+    )
     by_quarter = (
         _QUARTERED + "SELECT quarter, count(*) AS rows, CAST(sum(tests) AS BIGINT) AS total_tests FROM quartered GROUP BY quarter"
     )
@@ -260,6 +279,8 @@ def statements() -> dict[str, str]:
   FROM tiles WHERE {_CLEAN} AND {_HAS_LOCATION}""",
         "tiles_in_box": in_box,
         "tiles_in_box_shuffled": in_box,
+        "tiles_in_polygons": in_polygon,
+        "tiles_in_polygons_shuffled": in_polygon,
         "city_stats": stats,
         "city_stats_sample": _with(
             *_SILVER_PARTS,

@@ -79,6 +79,27 @@ def boxes(gazetteer: DataFrame) -> DataFrame:
     )
 
 
+#: A boundary's rings around its place, as parts of its size: a notched outline, a hole in it, and an island.
+RINGS = (
+    ((-1.013, -0.517), (-0.211, -0.873), (0.419, -0.331), (1.027, -0.711), (0.787, 0.293), (1.139, 0.911), (0.173, 0.457), (-0.823, 0.967)),
+    ((-0.307, -0.287), (0.193, -0.171), (0.047, 0.223), (-0.419, 0.139)),
+    ((1.301, -0.207), (1.507, 0.103), (1.223, 0.311)),
+)
+
+
+def polygons(gazetteer: DataFrame) -> DataFrame:
+    """A boundary of three rings around each place, 2 to 6 degrees in size; some cross the 180th meridian."""
+    size = F.col("size")
+    east = lambda x: F.col("glon") + size * x
+    corner = lambda x, y: F.struct(
+        F.when(east(x) >= 180.0, east(x) - 360.0).when(east(x) < -180.0, east(x) + 360.0).otherwise(east(x)).alias("lon"),
+        (F.col("glat") + size * y).alias("lat"),
+    )
+    rings = F.array(*(F.array(*(corner(x, y) for x, y in ring)) for ring in RINGS))
+    sized = gazetteer.withColumn("size", 2.0 + F.pmod(F.floor("glat"), F.lit(5)))
+    return sized.select("name", F.explode(rings).alias("ring"))
+
+
 def addresses(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """Address parts with every pattern of missing and empty ones, one per supplier."""
     part = lambda i, value: F.when(F.col("s_suppkey") % 7 == i, F.lit("")).when(F.col("s_suppkey") % 5 >= i, value)

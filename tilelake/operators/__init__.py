@@ -20,6 +20,7 @@ from tilelake.operators.geocode import (
     write_place_index,
 )
 from tilelake.operators.layout import add_partition_columns
+from tilelake.operators.polygons import tiles_in_polygons
 from tilelake.operators.quality import clean, cleaning_report, trim_keys
 
 __all__ = [
@@ -39,6 +40,7 @@ __all__ = [
     "read_place_index",
     "run_statistics",
     "tiles_in_boxes",
+    "tiles_in_polygons",
     "top_cities",
     "trim_keys",
     "with_cities",

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilelake.functions import grid_cell, is_location
 from tilelake.operators.skew import salted_join
 from tilelake.runtime import checkpointed
 
-_MAX_LEVEL = 20
+MAX_LEVEL = 20
 _CELL = ["level", "cell_x", "cell_y"]
-# Upper estimate of one box cell in memory, without the box name.
-_BOX_BYTES = 120
+# Upper estimate of one cell in memory, without the name and edges of its area.
+CELL_BYTES = 120
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -27,7 +27,7 @@ def _box_cells(boxes: DataFrame) -> DataFrame:
         "name", "lat_min", "lat_max",
         F.inline(F.when(F.col("lon_min") <= F.col("lon_max"), F.array(whole)).otherwise(F.array(eastern, western))),
     )
-    finest = 2.0**-_MAX_LEVEL
+    finest = 2.0**-MAX_LEVEL
     share = F.greatest(
         (F.col("east") - F.col("west")) / 360.0, (F.col("lat_max") - F.col("lat_min")) / 180.0, F.lit(finest)
     )
@@ -56,22 +56,33 @@ def tiles_in_boxes(
     shuffled. Beyond that tiles are summed up per location first, so that copies of a
     tile meet the boxes once, and crowded cells are split.
     """
-    location = ["latitude", "longitude"]
     cells = _box_cells(boxes)
     size = cells.agg(
         F.count(F.lit(1)).alias("cells"),
         F.sum(F.octet_length("name")).alias("name_bytes"),
         F.array_sort(F.collect_set("level")).alias("levels"),
     ).first()
+    inside = F.col("latitude").between(F.col("lat_min"), F.col("lat_max")) & F.col("longitude").between(
+        F.col("west"), F.col("east")
+    )
+    cell_bytes = size["cells"] * CELL_BYTES + (size["name_bytes"] or 0)
+    return sums_by_cell(tiles, cells, inside, size["levels"], cell_bytes, max_broadcast_bytes, shares)
+
+
+def sums_by_cell(
+    tiles: DataFrame, cells: DataFrame, inside: Column, levels: list[int], cell_bytes: int, max_broadcast_bytes: int, shares: int | None
+) -> DataFrame:
+    """Tiles and tests by the name of ``cells`` (with level, cell_x, cell_y) that they fall in and for which ``inside`` holds."""
+    location = ["latitude", "longitude"]
     keys = []
-    for level in size["levels"]:
+    for level in levels:
         x, y = grid_cell(F.col("latitude"), F.col("longitude"), level)
         keys.append(F.struct(F.lit(level).alias("level"), x.alias("cell_x"), y.alias("cell_y")))
     if not keys:
         keys.append(F.struct(F.lit(-1).alias("level"), F.lit(0).alias("cell_x"), F.lit(0).alias("cell_y")))
     probe = F.inline(F.array(*keys))
     located = tiles.filter(is_location(F.col("latitude"), F.col("longitude")))
-    if size["cells"] * _BOX_BYTES + (size["name_bytes"] or 0) <= max_broadcast_bytes:
+    if cell_bytes <= max_broadcast_bytes:
         rows = located.select(*location, F.lit(1).cast("long").alias("tile_count"), F.col("tests").alias("total_tests"))
         met = rows.select("*", probe).join(F.broadcast(cells), _CELL)
     else:
@@ -81,9 +92,6 @@ def tiles_in_boxes(
         probes = checkpointed(per_location).select("*", probe)
         rows_per_cell = probes.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("rows"))
         met = salted_join(probes, cells, _CELL, rows_per_cell, "inner", shares)
-    inside = F.col("latitude").between(F.col("lat_min"), F.col("lat_max")) & F.col("longitude").between(
-        F.col("west"), F.col("east")
-    )
     return (
         met.filter(inside)
         .groupBy("name")
