@@ -232,3 +232,17 @@ def test_dense_cluster_stays_small(spark):
     index = build_place_index(gazetteer(spark, np.r_[lat, near[0]], np.r_[lon, near[1]]))
     leaves = index.places.groupBy("level", "cell_x", "cell_y").count().agg(F.max("count")).first()[0]
     assert leaves <= 4 * geocode.LEAF_PLACES
+
+
+def test_places_closer_than_the_finest_query_cells_stay_few_around(spark):
+    lat, lon = sphere(40, 12)
+    draw = np.random.default_rng(13)
+    near = 40 + draw.uniform(0, 0.0004, 150), -90 + draw.uniform(0, 0.0004, 150)
+    # each with another one some 20 cm away
+    glat, glon = np.r_[lat, near[0], near[0] + 2e-6], np.r_[lon, near[1], near[1] + 1e-6]
+    names = [f"p{i:03d}" for i in range(len(glat))]
+    index = build_place_index(gazetteer(spark, glat, glon, names))
+    assert index.rows < 40 * len(glat)
+    away = np.r_[draw.uniform(-0.0004, 0.0008, 300), draw.uniform(-0.05, 0.05, 300)], np.r_[draw.uniform(-0.0004, 0.0008, 300), draw.uniform(-0.05, 0.05, 300)]
+    qlat, qlon = 40 + away[0], -90 + away[1]
+    assert cities(locations(spark, qlat, qlon), index) == brute_force(qlat, qlon, glat, glon, names)

@@ -28,10 +28,11 @@ from tilelake.runtime import checkpointed
 
 # A cell is a leaf once at most this many places are in reach of it.
 LEAF_PLACES = 16
-# Query cells start at 256 cells; query and place cells go down to 2 m.
+# Query cells start at 256 cells and go down to 2 m, place cells to 4 cm: a place cell that holds several places blurs
+# which of them is on the near side, for all query cells around.
 FIRST_LEVEL = 4
 MAX_LEVEL = 24
-MAX_PLACE_LEVEL = 24
+MAX_PLACE_LEVEL = 30
 _PLACE_LEVEL_STEP = 4
 # A query cell is cut before its place cells are single places only above so many leaves' worth of them.
 _WIDE_REACH = 8
@@ -47,10 +48,12 @@ _PLACE_BYTES = 80
 # Bounds are compared with this margin, far above rounding errors and about 1 cm.
 _MARGIN = 2e-9
 _TIE_SCALE = 1e12
-# Known places that every other place in reach of a cell is held against, and the margin of
-# their bisectors, which keeps places whose distances may agree to within a tie.
+# Known places that every other place in reach of a cell is held against. The margin of their bisectors keeps
+# places whose distances may agree to within a tie: it grows with the distance (above 1 / _TIE_SCALE of it), so that places a
+# few metres apart are told from each other nearby as well; the fixed part is above rounding errors.
 _RIVALS = 48
-_BISECTOR_MARGIN = 1e-10
+_BISECTOR_TIE = 2e-12
+_BISECTOR_ROUNDING = 1e-14
 
 _LEAF = ["level", "cell_x", "cell_y"]
 
@@ -149,10 +152,11 @@ def _cells_in_reach(pairs: DataFrame) -> DataFrame:
     the subcell. Seen from afar L is small, so a distant dense cluster is reduced to
     the places on its near side without cutting the query cell.
 
-    A cell of a single place a is also held against the known places closest to q, each as
-    b: p is closer to b than to a where p.(b - a) > 0, and p.(b - a) is at least
-    q.(b - a) - R |b - a| in the subcell. So a leaf keeps the places that may own a part of
-    it, few of a cluster however dense, since from outside only its hull owns anything.
+    A cell is also held against the known places closest to q, each as b: p is closer to b
+    than to a where p.(b - a) > 0. For a single place at c, p.(b - c) is at least
+    q.(b - c) - R |b - c| in the subcell; a place up to S away from c takes at most
+    S (|p-c| + S / 2) from that. So a leaf keeps the places that may own a part of it, few
+    of a cluster however dense, since from outside only its hull owns anything.
 
     Pairs are shuffled once, before they are multiplied: subcells stay with their
     parent cell, which also serves the windows. ``reach`` counts the place cells left
@@ -175,14 +179,19 @@ def _cells_in_reach(pairs: DataFrame) -> DataFrame:
         .withColumn("rank", F.row_number().over(per_subcell.orderBy("distance", "known")))
         .withColumn("rivals", F.collect_list(F.when(F.col("rank") <= _RIVALS, F.col("known"))).over(per_subcell))
     )
-    toward = " + ".join(f"q{axis} * (b.p{axis} - known.p{axis})" for axis in "xyz")
-    apart = " + ".join(f"(b.p{axis} - known.p{axis}) * (b.p{axis} - known.p{axis})" for axis in "xyz")
-    owns_nothing = f"n = 1 AND exists(rivals, b -> {toward} > q_radius * sqrt({apart}) + {_BISECTOR_MARGIN}D)"
+    toward = " + ".join(f"q{axis} * (b.p{axis} - c{axis})" for axis in "xyz")
+    apart = " + ".join(f"(b.p{axis} - c{axis}) * (b.p{axis} - c{axis})" for axis in "xyz")
+    owns_nothing = f"exists(rivals, b -> {toward} > q_radius * sqrt({apart}) + allowance)"
+    allowance = (
+        f"c_radius * (center_distance + q_radius + c_radius / 2D)"
+        f" + {_BISECTOR_TIE}D * (center_distance + q_radius + c_radius) + {_BISECTOR_ROUNDING}D"
+    )
     closest_way = "(center_distance + nearest.distance - 2D * q_radius)"
     return (
         distances.withColumn("apart", _distance("c", "nearest.known.p"))
         .withColumn("steepness", F.expr(f"if({closest_way} > 0D, least(2D, 2D * apart / {closest_way}), 2D)"))
         .filter(f"center_distance - nearest.distance <= steepness * q_radius + c_radius + {_MARGIN}D")
+        .withColumn("allowance", F.expr(allowance))
         .filter(f"NOT ({owns_nothing})")
         .withColumns(
             {"reach": F.count(F.lit(1)).over(per_subcell), "crowd": F.max("n").over(per_subcell)}
