@@ -246,3 +246,13 @@ def test_places_closer_than_the_finest_query_cells_stay_few_around(spark):
     away = np.r_[draw.uniform(-0.0004, 0.0008, 300), draw.uniform(-0.05, 0.05, 300)], np.r_[draw.uniform(-0.0004, 0.0008, 300), draw.uniform(-0.05, 0.05, 300)]
     qlat, qlon = 40 + away[0], -90 + away[1]
     assert cities(locations(spark, qlat, qlon), index) == brute_force(qlat, qlon, glat, glon, names)
+
+
+def test_shuffled_lookup_meets_a_leaf_once_and_copies_a_location_for_its_own_levels(spark):
+    lat, lon = sphere(60, 14)
+    index = build_place_index(gazetteer(spark, np.r_[lat, 20 + lat / 1000], np.r_[lon, 20 + lon / 1000]))
+    assert len(index.levels) > geocode._FEW_LEVELS
+    rows = locations(spark, *sphere(100, 15))
+    text = plan(with_cities(rows, index, max_broadcast_bytes=0))
+    assert "__levels" in text and "SortAggregate" not in text
+    assert cities(rows, index, max_broadcast_bytes=0) == cities(rows, index)

@@ -321,11 +321,15 @@ def _with_match(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _with_cities_broadcast(df: DataFrame, index: PlaceIndex) -> DataFrame:
-    key = [f"__{c}" for c in _LEAF]
-    leaves = index.places.groupBy(*(F.col(c).alias(k) for c, k in zip(_LEAF, key))).agg(
+def _leaves(index: PlaceIndex) -> DataFrame:
+    """One row per leaf with all its places."""
+    return index.places.groupBy(*(F.col(c).alias(f"__{c}") for c in _LEAF)).agg(
         F.collect_list(F.struct("px", "py", "pz", "label", "named")).alias("__places")
     )
+
+
+def _nearest_of_leaf() -> Column:
+    """The best of ``__places`` for the row's coordinates; null without valid coordinates."""
     query = _xyz("__q")
     nearest = F.array_min(
         F.transform(
@@ -337,43 +341,50 @@ def _with_cities_broadcast(df: DataFrame, index: PlaceIndex) -> DataFrame:
             ),
         )
     )
+    return F.when(F.col("__qx").isNotNull(), nearest)
+
+
+def _with_leaf_keys(df: DataFrame, index: PlaceIndex) -> DataFrame:
+    """``df`` with the cells that may be a row's leaf; exactly one of a row's copies has a leaf of the index."""
     # The leaves tile the globe and null coordinates are given a cell as well, so the
-    # inner join keeps each row exactly once.
+    # inner join with the leaves keeps each row exactly once.
     if len(index.levels) <= _FEW_LEVELS:
-        keyed = df.select("*", F.inline(_leaf_keys(index.levels, "__")))
-    else:
-        # A directory tells which levels there are in a row's part of the globe, so that a row is
-        # copied once for each of these and not for every level of the index.
-        coarse = min(_BROADCAST_LEVEL, max(index.levels))
-        x, y = grid_cell(F.col("latitude"), F.col("longitude"), coarse)
-        own_levels = F.filter(_leaf_keys(index.levels, "__"), lambda k: F.array_contains("__levels", k["__level"]))
-        keyed = (
-            df.withColumns({"__dir_x": x, "__dir_y": y})
-            .join(F.broadcast(_levels_directory(index, coarse)), ["__dir_x", "__dir_y"])
-            .select(*df.columns, F.inline(own_levels))
-        )
+        return df.select("*", F.inline(_leaf_keys(index.levels, "__")))
+    # A directory tells which levels there are in a row's part of the globe, so that a row is
+    # copied once for each of these and not for every level of the index.
+    coarse = min(_BROADCAST_LEVEL, max(index.levels))
+    x, y = grid_cell(F.col("latitude"), F.col("longitude"), coarse)
+    own_levels = F.filter(_leaf_keys(index.levels, "__"), lambda k: F.array_contains("__levels", k["__level"]))
+    return (
+        df.withColumns({"__dir_x": x, "__dir_y": y})
+        .join(F.broadcast(_levels_directory(index, coarse)), ["__dir_x", "__dir_y"])
+        .select(*df.columns, F.inline(own_levels))
+    )
+
+
+def _with_cities_broadcast(df: DataFrame, index: PlaceIndex) -> DataFrame:
     looked_up = (
-        keyed
-        .join(F.broadcast(leaves), key)
+        _with_leaf_keys(df, index)
+        .join(F.broadcast(_leaves(index)), [f"__{c}" for c in _LEAF])
         .withColumns(_query_vector("__q"))
-        .withColumn("__match", F.when(F.col("__qx").isNotNull(), nearest))
+        .withColumn("__match", _nearest_of_leaf())
     )
     return _with_match(looked_up, df.columns)
 
 
 def _with_cities_shuffled(df: DataFrame, index: PlaceIndex, shares: int | None) -> DataFrame:
-    location = ["latitude", "longitude"]
+    location, leaf = ["latitude", "longitude"], [f"__{c}" for c in _LEAF]
     valid = is_location(F.col("latitude"), F.col("longitude"))
     rows_per_location = checkpointed(
         df.filter(valid).groupBy(*location).agg(F.count(F.lit(1)).alias("rows"))
     )
-    probes = rows_per_location.select(*location, F.inline(_leaf_keys(index.levels)))
-    locations_per_leaf = probes.groupBy(*_LEAF).agg(F.count(F.lit(1)).alias("rows"))
+    probes = _with_leaf_keys(rows_per_location.select(*location), index)
+    locations_per_leaf = probes.groupBy(*leaf).agg(F.count(F.lit(1)).alias("rows"))
+    # a location meets its leaf once, with all places of the leaf, so its answer needs no further grouping
     nearest = (
-        salted_join(probes, index.places, _LEAF, locations_per_leaf, "inner", shares)
-        .withColumns(_query_vector("q"))
-        .groupBy(*location)
-        .agg(F.min(F.struct(_tie_distance(_distance("q", "p")), "label", "named")).alias("__match"))
+        salted_join(probes, _leaves(index), leaf, locations_per_leaf, "inner", shares)
+        .withColumns(_query_vector("__q"))
+        .select(*location, _nearest_of_leaf().alias("__match"))
     )
     # rows without a valid location join on null, which is dealt out and never matches
     key = [f"__{c}" for c in location]
