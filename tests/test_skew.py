@@ -77,3 +77,31 @@ def test_tiles_in_boxes(spark, limit):
     found = tiles_in_boxes(tiles, boxes, max_broadcast_bytes=limit, shares=4).collect()
     assert {r.name: (r.tile_count, r.total_tests) for r in found} == expected
     assert tiles_in_boxes(tiles, boxes.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_boxes_meet_only_locations_along_their_border(spark, limit, monkeypatch):
+    """Every box holds most of the tiles, but is tested against few of them."""
+    from tilelake.operators import area_sums
+
+    met = []
+    monkeypatch.setattr(area_sums, "_met", lambda areas, cells, *how, _met=area_sums._met: met.append(_met(areas, cells, *how)) or met[-1])
+    side = 90
+    spots = [((i // side) * 1.0 - 44.5, (i % side) * 2.0 - 89.5, 3) for i in range(side * side)]
+    tiles = spark.createDataFrame(spots, "latitude double, longitude double, tests long")
+    corners = [(f"box {k}", -30.0 - k / 7, 30.0 + k / 7, -60.0 - k / 7, 60.0 + k / 7) for k in range(40)]
+    boxes = spark.createDataFrame(corners, "name string, lat_min double, lat_max double, lon_min double, lon_max double")
+    found = {r.name: (r.tile_count, r.total_tests) for r in tiles_in_boxes(tiles, boxes, max_broadcast_bytes=limit, shares=4).collect()}
+    expected = {n: sum(s <= a <= t and w <= b <= e for a, b, _ in spots) for n, s, t, w, e in corners}
+    assert found == {n: (c, 3 * c) for n, c in expected.items()}
+    assert sum(m.count() for m in met) < sum(expected.values())
+
+
+def test_boxes_around_crowded_tiles(spark):
+    """Most locations lie in one small cell, which is cut further than the others."""
+    spots = [(10 + i / 1e5, 20 + j / 1e5, 1) for i in range(60) for j in range(60)] + [(float(i), float(-i), 1) for i in range(80)]
+    tiles = spark.createDataFrame(spots, "latitude double, longitude double, tests long")
+    corners = [(f"box {k}", 10.0, 10 + k / 1e5, 20.0, 20 + 2 * k / 1e5) for k in range(0, 60, 7)] + [("all", -90.0, 90.0, -180.0, 180.0)]
+    boxes = spark.createDataFrame(corners, "name string, lat_min double, lat_max double, lon_min double, lon_max double")
+    found = {r.name: r.tile_count for r in tiles_in_boxes(tiles, boxes, shares=4).collect()}
+    assert found == {n: sum(s <= a <= t and w <= b <= e for a, b, _ in spots) for n, s, t, w, e in corners}

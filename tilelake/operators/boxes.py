@@ -1,22 +1,18 @@
-"""Tiles inside named bounding boxes, as an equi-join on grid cells."""
+"""Tiles inside named bounding boxes, by sums of cells inside and tiles along the border."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilelake.functions import grid_cell, is_location
-from tilelake.operators.skew import salted_join
-from tilelake.runtime import checkpointed
+from tilelake.functions import is_location
+from tilelake.operators.area_sums import MAX_BROADCAST_BYTES, MAX_LEVEL, SLACK, CellTree, cell_tree, sums_of_areas
 
-MAX_LEVEL = 20
-_CELL = ["level", "cell_x", "cell_y"]
-# Upper estimate of one cell in memory, without the name and edges of its area.
-CELL_BYTES = 120
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Corners of a box besides its name, in memory.
+_CORNER_BYTES = 32
 
 
-def _box_cells(boxes: DataFrame) -> DataFrame:
+def _box_cells(boxes: DataFrame, max_level: int = MAX_LEVEL) -> DataFrame:
     """Each box with the cells it touches (the whole globe for boxes larger than it), on the finest level whose cells are at least
     half as wide and high as the box: nine cells at most. Boxes over the 180th meridian
     (lon_min > lon_max) are cut in two there."""
@@ -27,11 +23,12 @@ def _box_cells(boxes: DataFrame) -> DataFrame:
         "name", "lat_min", "lat_max",
         F.inline(F.when(F.col("lon_min") <= F.col("lon_max"), F.array(whole)).otherwise(F.array(eastern, western))),
     )
-    finest = 2.0**-MAX_LEVEL
+    finest = 2.0**-max_level
     share = F.greatest(
         (F.col("east") - F.col("west")) / 360.0, (F.col("lat_max") - F.col("lat_min")) / 180.0, F.lit(finest)
     )
-    leveled = pieces.withColumn("level", F.greatest(F.floor(-F.log2(share)) + 1, F.lit(0)).cast("int"))
+    level = F.least(F.greatest(F.floor(-F.log2(share)) + 1, F.lit(0)), F.lit(max_level))
+    leveled = pieces.withColumn("level", level.cast("int"))
     n = F.call_function("shiftleft", F.lit(1), F.col("level"))
     index = lambda value, offset, extent: F.least(
         F.greatest(F.floor((value + offset) / extent * n), F.lit(0)), n - 1
@@ -43,6 +40,37 @@ def _box_cells(boxes: DataFrame) -> DataFrame:
     )
 
 
+class _Boxes:
+    """How boxes are cut: a cell is inside when it is, with a slack, between the corners."""
+
+    payload = ["lat_min", "lat_max", "west", "east"]
+    payload_bytes = str(_CORNER_BYTES)
+
+    @staticmethod
+    def cells(boxes: DataFrame, tree: CellTree) -> DataFrame:
+        return _Boxes._placed(_box_cells(boxes, min(tree.base, MAX_LEVEL)))
+
+    @staticmethod
+    def _placed(cells: DataFrame) -> DataFrame:
+        """Cells that the box touches, told whether it holds all of them."""
+        n = F.call_function("shiftleft", F.lit(1), F.col("level"))
+        low = lambda at, extent: F.col(at) / n * extent - extent / 2
+        high = lambda at, extent: (F.col(at) + 1) / n * extent - extent / 2
+        # a bound beyond the globe's edge holds whatever is at the edge
+        apart = lambda a, b, at, extent: (F.col(a) > high(at, extent) + SLACK) | (F.col(b) < low(at, extent) - SLACK)
+        within = lambda a, b, at, extent: (F.col(a) <= low(at, extent) - SLACK) & (F.col(b) >= high(at, extent) + SLACK)
+        ways = (("west", "east", "cell_x", 360.0), ("lat_min", "lat_max", "cell_y", 180.0))
+        return cells.filter(~apart(*ways[0]) & ~apart(*ways[1])).withColumn("inner", within(*ways[0]) & within(*ways[1]))
+
+    @staticmethod
+    def cut(children: DataFrame) -> DataFrame:
+        return _Boxes._placed(children)
+
+    @staticmethod
+    def holds(latitude: Column, longitude: Column) -> Column:
+        return latitude.between(F.col("lat_min"), F.col("lat_max")) & longitude.between(F.col("west"), F.col("east"))
+
+
 def tiles_in_boxes(
     tiles: DataFrame,
     boxes: DataFrame,
@@ -51,49 +79,8 @@ def tiles_in_boxes(
 ) -> DataFrame:
     """Tiles and tests inside each box, borders included; boxes without tiles are left out.
 
-    ``boxes`` has name, lat_min, lat_max, lon_min, lon_max. While the boxes are small
-    enough to broadcast, tiles meet them where they are and only sums per box are
-    shuffled. Beyond that tiles are summed up per location first, so that copies of a
-    tile meet the boxes once, and crowded cells are split.
+    ``boxes`` has name, lat_min, lat_max, lon_min, lon_max. Tiles are summed up per location and per cell; a box takes the
+    sums of the cells inside it and meets single locations only in cells along its border (see ``sums_of_areas``).
     """
-    cells = _box_cells(boxes)
-    size = cells.agg(
-        F.count(F.lit(1)).alias("cells"),
-        F.sum(F.octet_length("name")).alias("name_bytes"),
-        F.array_sort(F.collect_set("level")).alias("levels"),
-    ).first()
-    inside = F.col("latitude").between(F.col("lat_min"), F.col("lat_max")) & F.col("longitude").between(
-        F.col("west"), F.col("east")
-    )
-    cell_bytes = size["cells"] * CELL_BYTES + (size["name_bytes"] or 0)
-    return sums_by_cell(tiles, cells, inside, size["levels"], cell_bytes, max_broadcast_bytes, shares)
-
-
-def sums_by_cell(
-    tiles: DataFrame, cells: DataFrame, inside: Column, levels: list[int], cell_bytes: int, max_broadcast_bytes: int, shares: int | None
-) -> DataFrame:
-    """Tiles and tests by the name of ``cells`` (with level, cell_x, cell_y) that they fall in and for which ``inside`` holds."""
-    location = ["latitude", "longitude"]
-    keys = []
-    for level in levels:
-        x, y = grid_cell(F.col("latitude"), F.col("longitude"), level)
-        keys.append(F.struct(F.lit(level).alias("level"), x.alias("cell_x"), y.alias("cell_y")))
-    if not keys:
-        keys.append(F.struct(F.lit(-1).alias("level"), F.lit(0).alias("cell_x"), F.lit(0).alias("cell_y")))
-    probe = F.inline(F.array(*keys))
     located = tiles.filter(is_location(F.col("latitude"), F.col("longitude")))
-    if cell_bytes <= max_broadcast_bytes:
-        rows = located.select(*location, F.lit(1).cast("long").alias("tile_count"), F.col("tests").alias("total_tests"))
-        met = rows.select("*", probe).join(F.broadcast(cells), _CELL)
-    else:
-        per_location = located.groupBy(*location).agg(
-            F.count(F.lit(1)).alias("tile_count"), F.sum("tests").alias("total_tests")
-        )
-        probes = checkpointed(per_location).select("*", probe)
-        rows_per_cell = probes.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("rows"))
-        met = salted_join(probes, cells, _CELL, rows_per_cell, "inner", shares)
-    return (
-        met.filter(inside)
-        .groupBy("name")
-        .agg(F.sum("tile_count").alias("tile_count"), F.sum("total_tests").alias("total_tests"))
-    )
+    return sums_of_areas(cell_tree(located, shares), boxes, _Boxes, max_broadcast_bytes, shares)

@@ -1,17 +1,17 @@
-"""Tiles inside named boundaries, as an equi-join on inner and border cells."""
+"""Tiles inside named boundaries, by sums of inner cells and tiles along the border."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilelake.functions import is_location
-from tilelake.operators.boxes import CELL_BYTES, MAX_BROADCAST_BYTES, MAX_LEVEL, sums_by_cell
-from tilelake.runtime import checkpointed
+from tilelake.operators.area_sums import MAX_BROADCAST_BYTES, MAX_LEVEL, SLACK, CellTree, cell_tree, sums_of_areas
 
-# Widens every range of cells, so that rounding cannot hide an edge from a cell that it touches.
-_SLACK = 1e-9
 _EDGE_BYTES = 48
+_FEW_EDGES = 4
 
 
 def _crosses(x1: Column, y1: Column, x2: Column, y2: Column, x: Column, y: Column) -> Column:
@@ -31,10 +31,10 @@ def _edges(polygons: DataFrame) -> DataFrame:
     return pairs.select("name", x1.alias("x1"), F.col("a.lat").alias("y1"), short.alias("x2"), F.col("b.lat").alias("y2"))
 
 
-def _polygon_cells(polygons: DataFrame) -> DataFrame:
+def _polygon_cells(polygons: DataFrame, max_level: int = MAX_LEVEL) -> DataFrame:
     """Cells with a point of each boundary: inner ones (``edges`` null), and border cells with the edges in them or north of them.
 
-    A boundary is cut into 4 to 64 cells a side, by its number of edges. An edge north of a cell that spans its whole
+    A boundary is cut into some 4 to 8 cells a side, up to ``max_level``. An edge north of a cell that spans its whole
     width is crossed from every point of the cell and only counted (``flips``). A cell that no edge touches is all inside
     or all outside, as its centre is.
     """
@@ -43,9 +43,8 @@ def _polygon_cells(polygons: DataFrame) -> DataFrame:
     # a boundary that has gone round the globe reaches the south pole
     south = F.when(F.abs(F.sum(F.col("x2") - F.col("x1"))) > 180.0, -90.0).otherwise(F.min(F.least("y1", "y2")))
     height = (F.max(F.greatest("y1", "y2")) - south) / 180.0
-    share = F.greatest(width, height, F.lit(2.0**-MAX_LEVEL))
-    finer = F.least(F.greatest(F.ceil(F.log2(F.count(F.lit(1)))), F.lit(2)), F.lit(6))
-    level = F.least(F.greatest(F.floor(-F.log2(share)) + finer, F.lit(0)), F.lit(MAX_LEVEL)).cast("int")
+    share = F.greatest(width, height, F.lit(2.0**-max_level))
+    level = F.least(F.greatest(F.floor(-F.log2(share)) + 2, F.lit(0)), F.lit(max_level)).cast("int")
     shapes = edges.groupBy("name").agg(level.alias("level"), south.alias("south"))
     n = F.call_function("shiftleft", F.lit(1), F.col("level"))
     column = lambda x: F.floor((x + 180.0) / 360.0 * n)  # noqa: E731  beyond the globe for edges over the 180th meridian
@@ -53,11 +52,11 @@ def _polygon_cells(polygons: DataFrame) -> DataFrame:
     west, east, low, high = F.least("x1", "x2"), F.greatest("x1", "x2"), F.least("y1", "y2"), F.greatest("y1", "y2")
     cells = (
         edges.join(shapes, "name")
-        .withColumn("x", F.explode(F.sequence(column(west - _SLACK), column(east + _SLACK))))
-        .withColumn("y", F.explode(F.sequence(row(F.col("south") - _SLACK), row(high + _SLACK))))
+        .withColumn("x", F.explode(F.sequence(column(west - SLACK), column(east + SLACK))))
+        .withColumn("y", F.explode(F.sequence(row(F.col("south") - SLACK), row(high + SLACK))))
     )
-    beyond = row(low - _SLACK) > F.col("y")
-    spans = (column(west + _SLACK) < F.col("x")) & (F.col("x") < column(east - _SLACK))
+    beyond = row(low - SLACK) > F.col("y")
+    spans = (column(west + SLACK) < F.col("x")) & (F.col("x") < column(east - SLACK))
     center_x, center_y = (F.col("x") + 0.5) / n * 360.0 - 180.0, (F.col("y") + 0.5) / n * 180.0 - 90.0
     turn = F.floor(F.col("x") / n) * 360.0
     edge = F.struct((F.col("x1") - turn).alias("x1"), "y1", (F.col("x2") - turn).alias("x2"), "y2")
@@ -76,6 +75,59 @@ def _polygon_cells(polygons: DataFrame) -> DataFrame:
     )
 
 
+class _Polygons:
+    """How boundaries are cut: each smaller cell keeps those edges of its cell that are in it or north of it."""
+
+    payload = ["flips", "edges"]
+    payload_bytes = f"{_EDGE_BYTES} * coalesce(size(edges), 0)"
+
+    @staticmethod
+    def cells(polygons: DataFrame, tree: CellTree) -> DataFrame:
+        cells = _polygon_cells(polygons, min(tree.base, MAX_LEVEL))
+        return cells.withColumn("inner", F.col("edges").isNull())
+
+    @staticmethod
+    def cut(children: DataFrame) -> DataFrame:
+        n = F.call_function("shiftleft", F.lit(1), F.col("level"))
+        lon, lat = lambda x: x / n * 360.0 - 180.0, lambda y: y / n * 180.0 - 90.0
+        bounds = {
+            "west": lon(F.col("cell_x")) - SLACK, "east": lon(F.col("cell_x") + 1) + SLACK,
+            "south": lat(F.col("cell_y")) - SLACK, "north": lat(F.col("cell_y") + 1) + SLACK,
+        }
+        beyond = lambda e: F.least(e["y1"], e["y2"]) > F.col("north")
+        spans = lambda e: (F.least(e["x1"], e["x2"]) < F.col("west")) & (F.greatest(e["x1"], e["x2"]) > F.col("east"))
+        near = lambda e: (
+            (F.greatest(e["x1"], e["x2"]) >= F.col("west"))
+            & (F.least(e["x1"], e["x2"]) <= F.col("east"))
+            & (F.greatest(e["y1"], e["y2"]) >= F.col("south"))
+        )
+        center = lon(F.col("cell_x") + 0.5), lat(F.col("cell_y") + 0.5)
+        kept = children.withColumns(bounds).select(
+            "*",
+            (F.col("flips") + F.size(F.filter("edges", lambda e: beyond(e) & spans(e)))).alias("more"),
+            F.filter("edges", lambda e: near(e) & ~(beyond(e) & spans(e))).alias("own"),
+        )
+        named = ["name", "level", "cell_x", "cell_y"]
+        # generators keep what follows from being merged with the steps before, where these would be evaluated many times over
+        kept = kept.select(*named, *bounds, F.inline(F.array(F.struct(F.col("more").alias("flips"), F.col("own").alias("edges")))))
+        placed = F.struct((~F.exists("edges", lambda e: ~beyond(e))).alias("inner"), (_crossings(*center) % 2 == 1).alias("center"))
+        placed = kept.select(*named, "flips", "edges", F.inline(F.array(placed)))
+        return placed.filter(~F.col("inner") | F.col("center")).drop("center")
+
+    @staticmethod
+    def holds(latitude: Column, longitude: Column) -> Column:
+        return _crossings(longitude, latitude) % 2 == 1
+
+
+def _crossings(x: Column, y: Column) -> Column:
+    """How many edges the way due north from a point of a cell crosses. Most cells have few edges, which are spelled out: that is
+    compiled, a loop over an array is not."""
+    crosses = lambda e: _crosses(e["x1"], e["y1"], e["x2"], e["y2"], x, y).cast("long")
+    first = reduce(Column.__add__, (F.coalesce(crosses(F.get("edges", F.lit(i))), F.lit(0)) for i in range(_FEW_EDGES)), F.col("flips"))
+    every = F.aggregate("edges", F.col("flips"), lambda found, e: found + crosses(e))
+    return F.when(F.size("edges") <= _FEW_EDGES, first).otherwise(every)
+
+
 def tiles_in_polygons(
     tiles: DataFrame,
     polygons: DataFrame,
@@ -89,18 +141,8 @@ def tiles_in_polygons(
     and latitude, shorter than 180 degrees, and may cross the 180th meridian. Of a ring round a pole the side away from the
     north pole is inside. Corners that are null or off the globe are passed over, rings of fewer than three hold nothing.
     A tile on an edge is on one side of it only, so that neighbours with a common border share no tile; 180 degrees east counts as
-    180 west. Inner cells need no test, border cells that with their own edges, so that work does not grow with the detail of
-    a boundary.
+    180 west. Inner cells give their sums, tiles in border cells are tested with the cell's own edges (see ``sums_of_areas``).
     """
-    cells = checkpointed(_polygon_cells(polygons))
-    size = cells.agg(
-        (F.count(F.lit(1)) * CELL_BYTES + F.coalesce(F.sum(F.octet_length("name") + _EDGE_BYTES * F.coalesce(F.size("edges"), F.lit(0))), F.lit(0))).alias("bytes"),
-        F.array_sort(F.collect_set("level")).alias("levels"),
-    ).first()
-    x, y = F.col("longitude"), F.col("latitude")
-    crossings = F.aggregate(
-        "edges", F.col("flips"), lambda found, e: found + _crosses(e["x1"], e["y1"], e["x2"], e["y2"], x, y).cast("long")
-    )
-    inside = F.col("edges").isNull() | (crossings % 2 == 1)
-    tiles = tiles.withColumn("longitude", F.when(x == 180.0, -180.0).otherwise(x))
-    return sums_by_cell(tiles, cells, inside, size["levels"], size["bytes"], max_broadcast_bytes, shares)
+    x = F.col("longitude")
+    located = tiles.filter(is_location(F.col("latitude"), x)).withColumn("longitude", F.when(x == 180.0, -180.0).otherwise(x))
+    return sums_of_areas(cell_tree(located, shares), polygons, _Polygons, max_broadcast_bytes, shares)
