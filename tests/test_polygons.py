@@ -63,3 +63,21 @@ def test_tiles_in_polygons(spark, limit):
     assert {"square", "beside", "seam", "parts", "south", "tiny", "star 5"} <= expected.keys()
     assert tiles_in_polygons(tiles, shapes.limit(0)).count() == 0
     assert tiles_in_polygons(tiles.limit(0), shapes).count() == 0
+
+
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_boundaries_meet_only_locations_along_their_border(spark, limit, monkeypatch):
+    """Every boundary holds many tiles, but is tested against few of them."""
+    from tilelake.operators import area_sums
+
+    met = []
+    monkeypatch.setattr(area_sums, "_met", lambda areas, cells, *how, _met=area_sums._met: met.append(_met(areas, cells, *how)) or met[-1])
+    side = 90
+    spots = [((i // side) * 1.0 - 44.5, (i % side) * 2.0 - 89.5) for i in range(side * side)]
+    tiles = spark.createDataFrame([(a, b, 3) for a, b in spots], "latitude double, longitude double, tests long")
+    rings = [(f"area {k}", [(-80.3 - k / 7, -33.1), (3.7, -42.9 + k / 9), (77.9, -31.3), (81.1 + k / 7, 35.7), (-69.3, 41.9)]) for k in range(20)]
+    shapes = spark.createDataFrame(rings, "name string, ring array<struct<lon:double,lat:double>>")
+    found = {r.name: (r.tile_count, r.total_tests) for r in tiles_in_polygons(tiles, shapes, max_broadcast_bytes=limit, shares=4).collect()}
+    expected = {n: sum(inside([ring], a, b) for a, b in spots) for n, ring in rings}
+    assert found == {n: (c, 3 * c) for n, c in expected.items()}
+    assert sum(m.count() for m in met) < sum(expected.values())
