@@ -256,3 +256,35 @@ def test_shuffled_lookup_meets_a_leaf_once_and_copies_a_location_for_its_own_lev
     text = plan(with_cities(rows, index, max_broadcast_bytes=0))
     assert "__levels" in text and "SortAggregate" not in text
     assert cities(rows, index, max_broadcast_bytes=0) == cities(rows, index)
+
+
+@pytest.mark.parametrize("slots", [16, 2])
+@pytest.mark.parametrize("how", [{}, {"max_broadcast_bytes": 0}])
+def test_leaves_of_few_and_of_many_places_agree_with_a_full_comparison(spark, monkeypatch, slots, how):
+    monkeypatch.setattr(geocode, "_SLOTS", slots)
+    glat, glon = sphere(150, 21)
+    # some spots mirror each other in the equator, so that distances from it are equal; labels are not in order of place
+    glat, glon = np.r_[glat, -glat[:40]], np.r_[glon, glon[:40]]
+    names = [f"p{i * 77 % 191:03d}" for i in range(len(glat))]
+    index = build_place_index(gazetteer(spark, glat, glon, names))
+    crowd = index.places.groupBy("level", "cell_x", "cell_y").count().agg(F.max("count")).first()[0]
+    assert (crowd > slots) == (slots == 2)
+    lat, lon = sphere(200, 22)
+    qlat, qlon = np.r_[lat, np.zeros(40)], np.r_[lon, glon[:40]]
+    assert cities(locations(spark, qlat, qlon), index, **how) == brute_force(qlat, qlon, glat, glon, names)
+
+
+def test_a_leaf_is_met_by_one_number_and_its_places_compared_in_generated_code(spark):
+    index = build_place_index(gazetteer(spark, *sphere(200, 2)))
+    text = plan(with_cities(locations(spark, *sphere(10, 1)), index))
+    assert "BroadcastHashJoin [__leaf" in text and "least(" in text
+    lat, lon = sphere(60, 14)
+    dense = build_place_index(gazetteer(spark, np.r_[lat, 20 + lat / 1000], np.r_[lon, 20 + lon / 1000]))
+    # no list of a row's cells on all levels is built and filtered
+    assert "filter(array(" not in plan(with_cities(locations(spark, *sphere(10, 1)), dense))
+
+
+def test_names_of_leaves_differ_between_and_within_levels(spark):
+    cells = [(level, x, y) for level in (0, 1, 2, 23, 24, 30) for x in {0, 1, (1 << level) - 1} for y in {0, 1, (1 << level) - 1} if max(x, y) < 1 << level]
+    named = spark.createDataFrame(cells, "level int, cell_x int, cell_y int").select(geocode._leaf_name())
+    assert named.distinct().count() == len(cells)

@@ -372,3 +372,13 @@ def test_shared_folder_follows_the_session(spark):
     assert spark.sparkContext.getCheckpointDir()
     assert new_table_path(spark, "x") != new_table_path(spark, "x")
     assert new_table_path(spark, "x").startswith(shared_dir(spark))
+
+
+def test_quarter_of_a_tile_is_read_without_a_date_parser(spark):
+    from tilelake.functions import tile_quarter
+
+    days = ["1995-01-31_x", " 1996-12-01", "2020-02-29_f", "2019-02-29_f", "2019-04-31", "2019-13-01", "2019-00-10", "0000-03-01", "2019-1-01", "2019-", "", None, "2019-01-01T", "٢٠١٩-٠١-٠١"]
+    rows = spark.createDataFrame([(d,) for d in days], "tile string").select(tile_quarter(F.col("tile")).alias("quarter"))
+    known = ["1995-q1", "1996-q4", "2020-q1", "undated", "undated", "undated", "undated", "0-q1", "undated", "undated", "undated", "undated", "2019-q1", "undated"]
+    assert [r.quarter for r in rows.collect()] == known
+    assert "gettimestamp" not in rows._jdf.queryExecution().executedPlan().toString()

@@ -39,5 +39,6 @@ def quarter_of(date: Column) -> Column:
 def tile_quarter(tile: Column) -> Column:
     """Quarter of a ``YYYY-MM-DD_...`` tile."""
     day = F.substring(F.trim(tile), 1, 10)
-    date = F.when(day.rlike(r"^\d{4}-\d{2}-\d{2}\z"), F.try_to_date(day, "yyyy-MM-dd"))
+    # a cast reads a day of this form as a date format does, without its parser
+    date = F.when(day.rlike(r"^\d{4}-\d{2}-\d{2}\z"), day.try_cast("date"))
     return F.coalesce(quarter_of(date), F.lit(UNDATED))

@@ -56,6 +56,8 @@ _BISECTOR_TIE = 2e-12
 _BISECTOR_ROUNDING = 1e-14
 
 _LEAF = ["level", "cell_x", "cell_y"]
+# Places of a leaf that are compared in generated code, a column expression each; leaves with more are walked place by place.
+_SLOTS = LEAF_PLACES
 
 
 @dataclass(frozen=True)
@@ -321,27 +323,40 @@ def _with_match(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def _leaf_name(prefix: str = "") -> Column:
+    """A leaf's level and cell as one number, so that joins hash and compare a long."""
+    level, x, y = (f"{prefix}{c}" for c in _LEAF)
+    # from 4^level up, below 2 * 4^level: no two levels share a number
+    return F.expr(f"shiftleft(1L, 2 * {level}) + shiftleft(bigint({x}), {level}) + {y}")
+
+
 def _leaves(index: PlaceIndex) -> DataFrame:
-    """One row per leaf with all its places."""
-    return index.places.groupBy(*(F.col(c).alias(f"__{c}") for c in _LEAF)).agg(
-        F.collect_list(F.struct("px", "py", "pz", "label", "named")).alias("__places")
-    )
+    """One row per leaf with all its places in order of label, coordinates as arrays of their own."""
+    place = F.struct("label", "named", "px", "py", "pz")
+    leaves = index.places.groupBy(*_LEAF).agg(F.sort_array(F.collect_list(place)).alias("__sorted"))
+    of = lambda c: F.col("__sorted")[c].alias(f"__{c}s")
+    names = F.transform("__sorted", lambda p: F.struct(p["label"].alias("label"), p["named"].alias("named")))
+    return leaves.select(_leaf_name().alias("__leaf"), names.alias("__names"), of("px"), of("py"), of("pz"))
 
 
 def _nearest_of_leaf() -> Column:
-    """The best of ``__places`` for the row's coordinates; null without valid coordinates."""
+    """The best of the leaf's places for the row's coordinates; null without valid coordinates.
+
+    Places are in order of label, so of equal distances the first is the one with the first label: a place's distance and
+    position make one number, whose minimum names the place.
+    """
     query = _xyz("__q")
-    nearest = F.array_min(
-        F.transform(
-            "__places",
-            lambda p: F.struct(
-                _tie_distance(chord(query, (p["px"], p["py"], p["pz"]))).alias("distance"),
-                p["label"].alias("label"),
-                p["named"].alias("named"),
-            ),
-        )
+    at = lambda i: tuple(F.get(f"__{c}s", i) for c in ("px", "py", "pz"))
+    numbered = lambda d, i, n: d * F.lit(n).cast("long") + i
+    slots = F.least(*(numbered(_tie_distance(chord(query, at(F.lit(i)))), F.lit(i), _SLOTS) for i in range(_SLOTS)))
+    # distances are below 2^41, so more than 4 million places would fit the number
+    wide = 1 << 22
+    every = F.array_min(
+        F.transform(F.sequence(F.lit(0), F.size("__names") - 1), lambda i: numbered(_tie_distance(chord(query, at(i))), i, wide))
     )
-    return F.when(F.col("__qx").isNotNull(), nearest)
+    few = F.size("__names") <= _SLOTS
+    best = F.when(few, F.pmod(slots, F.lit(_SLOTS))).otherwise(F.pmod(every, F.lit(wide)))
+    return F.get("__names", F.when(F.col("__qx").isNotNull(), best).cast("int"))
 
 
 def _with_leaf_keys(df: DataFrame, index: PlaceIndex) -> DataFrame:
@@ -349,23 +364,28 @@ def _with_leaf_keys(df: DataFrame, index: PlaceIndex) -> DataFrame:
     # The leaves tile the globe and null coordinates are given a cell as well, so the
     # inner join with the leaves keeps each row exactly once.
     if len(index.levels) <= _FEW_LEVELS:
-        return df.select("*", F.inline(_leaf_keys(index.levels, "__")))
+        return df.select("*", F.inline(_leaf_keys(index.levels, "__"))).select(*df.columns, _leaf_name("__").alias("__leaf"))
     # A directory tells which levels there are in a row's part of the globe, so that a row is
     # copied once for each of these and not for every level of the index.
-    coarse = min(_BROADCAST_LEVEL, max(index.levels))
-    x, y = grid_cell(F.col("latitude"), F.col("longitude"), coarse)
-    own_levels = F.filter(_leaf_keys(index.levels, "__"), lambda k: F.array_contains("__levels", k["__level"]))
+    finest = max(index.levels)
+    coarse = min(_BROADCAST_LEVEL, finest)
+    x, y = grid_cell(F.col("latitude"), F.col("longitude"), finest)
+    cells = df.withColumns({"__fine_x": x, "__fine_y": y})
+    up = {f"__dir_{c}": F.shiftright(f"__fine_{c}", finest - coarse) for c in "xy"}
     return (
-        df.withColumns({"__dir_x": x, "__dir_y": y})
+        cells.withColumns(up)
         .join(F.broadcast(_levels_directory(index, coarse)), ["__dir_x", "__dir_y"])
-        .select(*df.columns, F.inline(own_levels))
+        .select(*df.columns, "__fine_x", "__fine_y", F.explode("__levels").alias("__level"))
+        # a cell's column and row on a level are those of the finest level without their last bits
+        .withColumns({f"__cell_{c}": F.expr(f"shiftright(__fine_{c}, {finest} - __level)") for c in "xy"})
+        .select(*df.columns, _leaf_name("__").alias("__leaf"))
     )
 
 
 def _with_cities_broadcast(df: DataFrame, index: PlaceIndex) -> DataFrame:
     looked_up = (
         _with_leaf_keys(df, index)
-        .join(F.broadcast(_leaves(index)), [f"__{c}" for c in _LEAF])
+        .join(F.broadcast(_leaves(index)), "__leaf")
         .withColumns(_query_vector("__q"))
         .withColumn("__match", _nearest_of_leaf())
     )
@@ -373,7 +393,7 @@ def _with_cities_broadcast(df: DataFrame, index: PlaceIndex) -> DataFrame:
 
 
 def _with_cities_shuffled(df: DataFrame, index: PlaceIndex, shares: int | None) -> DataFrame:
-    location, leaf = ["latitude", "longitude"], [f"__{c}" for c in _LEAF]
+    location, leaf = ["latitude", "longitude"], ["__leaf"]
     valid = is_location(F.col("latitude"), F.col("longitude"))
     rows_per_location = checkpointed(
         df.filter(valid).groupBy(*location).agg(F.count(F.lit(1)).alias("rows"))
