@@ -203,6 +203,11 @@ def _files(spark, path: str) -> list:
     return sorted((s.getPath() for s in system.listStatus(folder) if s.getPath().getName().endswith(".parquet")), key=lambda p: p.getName())
 
 
+def _file_number(spark, least: int) -> int:
+    """How many files to write, so that every core writes some of them: a fixed few would each grow with the input."""
+    return max(least, spark.sparkContext.defaultParallelism)
+
+
 def _correct_files(spark, path: str, corrected: DataFrame) -> None:
     """Put other rows into the files of ``path``, which keep their names."""
     old, new_path = _files(spark, path), new_table_path(spark, "corrected")
@@ -219,7 +224,7 @@ def q_land_corrected(spark, sf_dir):
     raw, target = new_table_path(spark, "raw"), new_table_path(spark, "landed")
     tiles, early = _bronze(spark, sf_dir), F.coalesce(F.col("tile") < "1995", F.lit(False))
     wrong = tiles.withColumn("tests", F.col("tests") + 7).unionByName(tiles).filter(early)
-    wrong.repartition(3).write.parquet(f"{raw}/early")
+    wrong.repartition(_file_number(spark, 3)).write.parquet(f"{raw}/early")
     tiles.filter(~early).write.parquet(f"{raw}/late")
     tiles.sample(0.5, 1).write.parquet(f"{raw}/mistaken")
     land_bronze(spark, raw, target)
@@ -265,7 +270,7 @@ def q_scan_bronze_mixed(spark, sf_dir):
     root, raw = new_table_path(spark, "mixed"), new_table_path(spark, "raw")
     tiles = _bronze(spark, sf_dir).withColumn("_part", F.pmod(F.xxhash64("quadkey", "tile"), F.lit(4)))
     some = lambda k: tiles.filter(F.col("_part") == k).drop("_part")
-    some(0).repartition(2).write.parquet(raw)
+    some(0).repartition(_file_number(spark, 2)).write.parquet(raw)
     land_bronze(spark, raw, f"{root}/landed")
     _correct_files(spark, raw, some(0))
     land_bronze(spark, raw, f"{root}/landed")

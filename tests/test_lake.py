@@ -382,3 +382,13 @@ def test_quarter_of_a_tile_is_read_without_a_date_parser(spark):
     known = ["1995-q1", "1996-q4", "2020-q1", "undated", "undated", "undated", "undated", "0-q1", "undated", "undated", "undated", "undated", "2019-q1", "undated"]
     assert [r.quarter for r in rows.collect()] == known
     assert "gettimestamp" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_raw_files_of_the_landing_queries_are_as_many_as_cores(spark, monkeypatch):
+    import __spark_entry__ as driver
+
+    files = []
+    monkeypatch.setattr(driver, "_correct_files", lambda spark, path, corrected: files.append(len(driver._files(spark, path))))
+    for name in ("land_corrected", "scan_bronze_mixed"):
+        driver.queries()[name](spark, "/root/testdata/sf0.001")
+    assert len(files) == 2 and min(files) >= spark.sparkContext.defaultParallelism
