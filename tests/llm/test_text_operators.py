@@ -73,6 +73,25 @@ def test_samples_agree_as_often_as_weights_do():
         assert found == pytest.approx(_jaccard(a, b), abs=0.05)
 
 
+def test_recent_words_are_drawn_once(monkeypatch):
+    """Words come back within the reach of what is kept, and signatures do not depend on what is."""
+    sampler, hashed = fingerprints.Sampler(8), []
+    digest = fingerprints.xxhash.xxh64_intdigest
+
+    class Counted:
+        xxh64_intdigest = staticmethod(lambda *a: hashed.append(a[0]) or digest(*a))
+
+    monkeypatch.setattr(fingerprints, "xxhash", Counted)
+    bags = [{b"%d" % w: 1 for w in range(i, i + 5000)} for i in range(0, 100_000, 5000)]
+    bags.append({b"%d" % w: 1 + w % 3 for w in range(33)})
+    first = [sampler.signature(bag) for bag in bags]
+    assert all((sampler.signature(bag) == s).all() for bag, s in zip(bags, first))
+    # the 22 words that a bag repeats are drawn with all their numbers as well
+    assert len(hashed) == 100_022
+    for bag, s in zip(bags, first):
+        assert (fingerprints.Sampler(8).signature(dict(reversed(bag.items()))) == s).all()
+
+
 def test_fingerprint(spark):
     given = [r for r in rows() if r[0] is not None]
     found = fingerprints.fingerprint(frame(spark, given)).collect()

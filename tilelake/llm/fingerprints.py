@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,77 +22,121 @@ from pyspark.sql import functions as F
 from tilelake.llm.common import documents, partitions
 
 SAMPLES = 128
-#: Words whose random numbers a task keeps at a time, and words of a text that are weighed at a time.
-KEPT_WORDS, AT_ONCE = 60_000, 4096
+#: Words that a task keeps: with their value at one occurrence, and with all their random numbers (words that a text repeats).
+KEPT_WORDS, KEPT_REPEATED = 180_000, 20_000
+#: Words of a text that are weighed at a time, and words whose numbers are drawn at a time, so that their arrays stay in a core's cache.
+AT_ONCE, DRAWN = 4096, 32
 _EMPTY = "0" * (8 * SAMPLES)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """The finishing steps of the splitmix64 generator (fixed constants)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def _mix(x: np.ndarray, shifted: np.ndarray) -> np.ndarray:
+    """The finishing steps of the splitmix64 generator (fixed constants), in place; ``shifted`` is room for one step."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, None)):
+        np.right_shift(x, np.uint64(shift), out=shifted)
+        np.bitwise_xor(x, shifted, out=x)
+        if factor is not None:
+            np.multiply(x, np.uint64(factor), out=x)
+    return x
+
+
+class _Kept:
+    """Arrays with a row for each of the last words, at most ``size`` of them."""
+
+    def __init__(self, size: int, samples: int, tables: int):
+        self.places: dict[bytes, int] = {}
+        self.tables = [np.empty((size, samples), np.float32) for _ in range(tables)]
+        self.ids = np.empty(size, np.uint64)
+
+    def rows(self, words: list[bytes]) -> tuple[np.ndarray, int, list[bytes]]:
+        """The words' rows, the first of the new ones among these, and the words that they are for."""
+        rows = np.fromiter(map(self.places.get, words, repeat(-1)), np.intp, len(words))
+        unknown = np.flatnonzero(rows < 0)
+        if len(self.places) + len(unknown) > len(self.ids):
+            self.places.clear()
+            unknown = np.arange(len(words))
+        start, new = len(self.places), [words[i] for i in unknown.tolist()]
+        rows[unknown] = np.arange(start, start + len(new))
+        self.places.update(zip(new, range(start, start + len(new))))
+        return rows, start, new
 
 
 class Sampler:
     """Signatures of bags of words, with the random numbers of recent words kept."""
 
     def __init__(self, samples: int = SAMPLES):
-        steps = np.arange(1, 5 * samples + 1, dtype=np.uint64).reshape(5, samples)
-        self.steps = steps * np.uint64(0x9E3779B97F4A7C15)
-        self.samples = samples
-        self.places: dict[bytes, int] = {}
-        self.r, self.b, self.c, self.first = (np.empty((KEPT_WORDS, samples), np.float32) for _ in range(4))
-        self.ids = np.empty(KEPT_WORDS, np.uint64)
-
-    def _learn(self, words: list[bytes]) -> None:
-        new = [w for w in words if w not in self.places]
-        if not new:
-            return
-        if len(self.places) + len(new) > KEPT_WORDS:
-            self.places.clear()
-            new = words
-        start = len(self.places)
-        ids = np.fromiter((xxhash.xxh64_intdigest(w, 7) for w in new), np.uint64, len(new))
-        uniform = ((_mixed(ids[:, None, None] + self.steps) >> np.uint64(11)) + np.uint64(1)) * (2.0**-53 * (1 - 2.0**-20))
-        rows = slice(start, start + len(new))
-        r = -np.log((uniform[:, 0] * uniform[:, 1]).astype(np.float32))
-        c = np.log(-np.log((uniform[:, 2] * uniform[:, 3]).astype(np.float32)))
-        self.r[rows], self.b[rows], self.c[rows] = r, uniform[:, 4], c
-        # a word that occurs once has t = 0
-        self.first[rows] = self.c[rows] + self.r[rows] * self.b[rows] - self.r[rows]
-        self.ids[rows] = ids
-        self.places.update((w, start + i) for i, w in enumerate(new))
+        self.steps = np.arange(1, 5 * samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        self.every, self.none = np.arange(samples), np.zeros(samples, np.int64)
+        self.once, self.often = _Kept(KEPT_WORDS, samples, 1), _Kept(KEPT_REPEATED, samples, 3)
+        # room for the steps of a draw, which stays in a core's cache
+        self.mixed, self.shifted = (np.empty((DRAWN, 5 * samples), np.uint64) for _ in range(2))
+        self.uniform = np.empty((DRAWN, 5, samples))
+        self.numbers = [np.empty((DRAWN, samples), np.float32) for _ in range(3)]
+
+    def _draw(self, ids: np.ndarray) -> list[np.ndarray]:
+        """r, b and ln(c) of at most DRAWN words, in arrays that the next draw overwrites."""
+        n = len(ids)
+        x, uniform, (r, b, c) = self.mixed[:n], self.uniform[:n], (a[:n] for a in self.numbers)
+        np.add(ids[:, None], self.steps, out=x)
+        _mix(x, self.shifted[:n])
+        np.right_shift(x, np.uint64(11), out=x)
+        # 53 bits, which signed integers and doubles hold as well
+        uniform[...] = x.view(np.int64).reshape(uniform.shape)
+        uniform += 1.0
+        uniform *= 2.0**-53 * (1 - 2.0**-20)
+        for gamma, first in ((r, 0), (c, 2)):
+            np.multiply(uniform[:, first], uniform[:, first + 1], out=gamma, casting="same_kind")
+            np.log(gamma, out=gamma)
+            np.negative(gamma, out=gamma)
+        np.log(c, out=c)
+        b[...] = uniform[:, 4]
+        return [r, b, c]
+
+    def _learn(self, words: list[bytes], repeated: bool) -> tuple[_Kept, np.ndarray]:
+        """Where the words are kept, and their rows there."""
+        kept = self.often if repeated else self.once
+        rows, start, new = kept.rows(words)
+        if new:
+            kept.ids[start : start + len(new)] = np.fromiter(map(xxhash.xxh64_intdigest, new, repeat(7)), np.uint64, len(new))
+        for first in range(start, start + len(new), DRAWN):
+            some = slice(first, min(first + DRAWN, start + len(new)))
+            r, b, c = numbers = self._draw(kept.ids[some])
+            if repeated:
+                for table, drawn in zip(kept.tables, numbers):
+                    table[some] = drawn
+            else:
+                # a word that occurs once has t = 0
+                np.multiply(r, b, out=b)
+                np.add(c, b, out=c)
+                np.subtract(c, r, out=kept.tables[0][some])
+        return kept, rows
 
     def signature(self, bag: dict[bytes, int]) -> np.ndarray | None:
         """One 32-bit number per sample; None for an empty bag."""
         if not bag:
             return None
-        once = [w for w, n in bag.items() if n == 1]
         often = [w for w, n in bag.items() if n > 1]
-        least, word, step = (np.full(self.samples, np.inf, np.float32), np.zeros(self.samples, np.uint64), np.zeros(self.samples, np.int64))
+        once = [w for w, n in bag.items() if n == 1] if often else list(bag)
+        least = word = step = None
         for words, repeated in ((once, False), (often, True)):
             for i in range(0, len(words), AT_ONCE):
                 some = words[i : i + AT_ONCE]
-                self._learn(some)
-                rows = np.fromiter(map(self.places.__getitem__, some), np.intp, len(some))
+                kept, rows = self._learn(some, repeated)
+                values = kept.tables[0].take(rows, axis=0)
                 if repeated:
                     weight = np.log(np.fromiter(map(bag.__getitem__, some), np.float32, len(some)))
-                    r, b = self.r.take(rows, axis=0), self.b.take(rows, axis=0)
-                    t = np.floor(weight[:, None] / r + b)
-                    values = self.c.take(rows, axis=0) - r * (t - b) - r
-                else:
-                    values = self.first.take(rows, axis=0)
+                    b, c = (table.take(rows, axis=0) for table in kept.tables[1:])
+                    t = np.floor(weight[:, None] / values + b)
+                    values = c - values * (t - b) - values
                 at = values.argmin(axis=0)
-                every = np.arange(self.samples)
-                lower = values[at, every]
-                ids = self.ids[rows][at]
+                lower, ids = values[at, self.every], kept.ids[rows[at]]
+                steps = t[at, self.every].astype(np.int64) if repeated else self.none
+                if least is None:
+                    least, word, step = lower, ids, steps
+                    continue
                 # an exact tie goes to the smaller word hash
                 wins = (lower < least) | ((lower == least) & (ids < word))
-                least = np.where(wins, lower, least)
-                word = np.where(wins, ids, word)
-                step = np.where(wins, t[at, every].astype(np.int64) if repeated else 0, step)
-        mixed = _mixed(word + step.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                least, word, step = np.where(wins, lower, least), np.where(wins, ids, word), np.where(wins, steps, step)
+        mixed = _mix(word + step.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), np.empty_like(word))
         return (mixed >> np.uint64(32)).astype(np.uint32)
 
 
