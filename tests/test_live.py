@@ -11,7 +11,7 @@ from tests.test_lake import STAMP, TILES, index, places, same_rows  # noqa: F401
 from tilelake.operators import build_place_index
 from tilelake.operators.analytics import gold_city_month
 from tilelake.operators.geocode import with_cities
-from tilelake.plans import bronze_to_silver, locate, read_gold, refresh_gold, to_silver, with_kept_cities
+from tilelake.plans import bronze_to_silver, kept_cities, locate, read_gold, refresh_gold, to_silver, with_kept_cities
 from tilelake.schemas import BRONZE, ORIGIN, PARTITION_COLUMNS
 from tilelake.sinks import drop_table, live, read_silver, register_silver, snapshot, write_silver, write_table
 from tilelake.sources import check_bronze, land_bronze, landed_files, read_landed, scan_bronze, scan_quarter, schema_report
@@ -203,6 +203,30 @@ def test_gold_follows_silver(spark, index, tmp_path):  # noqa: F811
     assert refresh_gold(spark, path, gold) == 0 and same() and read_gold(spark, gold).agg(F.sum("tile_count")).first()[0] == 3
 
 
+def test_many_unseen_quadkeys_are_written_where_they_are(spark, index, tmp_path, monkeypatch):  # noqa: F811
+    """Neither a join to see whether there are any, nor a shuffle before they are written."""
+    kept, written = str(tmp_path / "kept"), []
+    located = locate(spark.createDataFrame(TILES, BRONZE), STAMP)
+
+    def recorded(df, *args, **options):
+        written.append((df.count(), options.get("rebalance", True)))
+        return live.load(df, *args, **options)
+
+    monkeypatch.setattr(kept_cities, "load", recorded)
+    monkeypatch.setattr(kept_cities, "_MANY_NEW", 2)
+    empty = type(located).isEmpty
+    asked = []
+    monkeypatch.setattr(type(located), "isEmpty", lambda df: asked.append(df) or empty(df))
+    for part in (located.filter("quadkey < '2'"), located, located.filter("quadkey < '2'"), located):
+        assert same_rows(with_cities(part, index), with_kept_cities(part, index, kept))
+    unseen = [df for df in asked if df.columns == ["quadkey", "latitude", "longitude"]]
+    assert written == [(2, False), (2, False)] and len(unseen) == 2
+    # few are gathered first
+    monkeypatch.setattr(kept_cities, "_MANY_NEW", 3)
+    with_kept_cities(located.filter("quadkey < '2'"), index, str(tmp_path / "other"))
+    assert written[2:] == [(2, True)]
+
+
 def test_only_unseen_quadkeys_are_looked_up(spark, index, places, tmp_path):  # noqa: F811
     kept = str(tmp_path / "kept")
     located = locate(spark.createDataFrame(TILES, BRONZE), STAMP)

@@ -19,6 +19,8 @@ _KEPT = T.StructType(
 )
 # Upper estimate of a kept quadkey in memory.
 _ROW_BYTES = 200
+# From so many new quadkeys on, each task writes its own; fewer are gathered first, so that small additions make few files.
+_MANY_NEW = 1_000_000
 
 
 def index_version(index: PlaceIndex) -> str:
@@ -45,12 +47,23 @@ def with_kept_cities(
     def known() -> DataFrame:
         return read_live(spark, kept_path, _LAYOUT, _KEPT).filter(F.col(_VERSION) == version).select(*_KEPT.names)
 
+    def kept_rows() -> int:
+        return snapshot(spark, kept_path).filter(F.col("live") & (F.col("unit") == version)).agg(F.sum("rows")).first()[0] or 0
+
+    def kept_rows() -> int:
+        return snapshot(spark, kept_path).filter(F.col("live") & (F.col("unit") == version)).agg(F.sum("rows")).first()[0] or 0
+
     counts = checkpointed(located.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")))
-    unseen = counts.select(*keys).join(known(), keys, "left_anti")
-    if not unseen.isEmpty():
+    unseen, rows = counts.select(*keys), kept_rows()
+    # the table has each quadkey once, so at least so many are new: then no join is needed to see whether any is
+    least_new = counts.count() - rows
+    if rows:
+        unseen = unseen.join(known(), keys, "left_anti")
+    if least_new > 0 or not unseen.isEmpty():
         found = with_cities(unseen, index, max_broadcast_bytes).withColumn(_VERSION, F.lit(version))
-        load(found, kept_path, _LAYOUT, entries(F.lit(False)))
-    rows = snapshot(spark, kept_path).filter(F.col("live") & (F.col("unit") == version)).agg(F.sum("rows")).first()[0] or 0
+        # quadkeys are spread evenly by their grouping, so many of them need no shuffle before the write
+        load(found, kept_path, _LAYOUT, entries(F.lit(False)), rebalance=least_new < _MANY_NEW)
+        rows = kept_rows()
     if rows * _ROW_BYTES <= max_broadcast_bytes:
         return located.join(F.broadcast(known()), keys).select(*located.columns, "city", "city_lookup_success")
     return salted_join(located, known(), keys, counts, "inner").select(*located.columns, "city", "city_lookup_success")
