@@ -1,22 +1,31 @@
-"""Tiles inside named boundaries, by sums of inner cells and tiles along the border."""
+"""Tiles inside named boundaries: regions of the globe meet the boundaries that touch them, each searched within a task."""
 
 from __future__ import annotations
 
-from functools import reduce
+import math
+from collections import Counter
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from tilelake.functions import is_location
-from tilelake.operators.area_sums import MAX_BROADCAST_BYTES, MAX_LEVEL, SLACK, CellTree, cell_tree, sums_of_areas
-
-_EDGE_BYTES = 48
-_FEW_EDGES = 4
-
-
-def _crosses(x1: Column, y1: Column, x2: Column, y2: Column, x: Column, y: Column) -> Column:
-    """Whether the way due north from (x, y) crosses an edge; of an edge's two ends the eastern one belongs to the next edge."""
-    return F.when((x1 > x) != (x2 > x), y < y1 + (x - x1) * (y2 - y1) / (x2 - x1)).otherwise(False)
+from pyspark.sql import types as T
+
+from tilelake.functions import grid_cell, is_location
+from tilelake.operators import ring_search
+from tilelake.operators.area_sums import MAX_BROADCAST_BYTES
+from tilelake.operators.ring_search import DEEPEST, Regions
+from tilelake.runtime import checkpointed
+
+# Locations of a region: at most, and as many as one may have however few there are.
+_MOST_LOCATIONS = 250_000
+_FEW_LOCATIONS = 20_000
+# Levels by which crowded regions are cut at once.
+_STEP = 3
+_EDGE_BYTES = 32
+# One area of a region in memory, without its name and edges.
+_AREA_BYTES = 64
+# Areas that meet a region's locations in one task.
+_PART_BYTES = 8 * 1024 * 1024
 
 
 def _edges(polygons: DataFrame) -> DataFrame:
@@ -31,101 +40,44 @@ def _edges(polygons: DataFrame) -> DataFrame:
     return pairs.select("name", x1.alias("x1"), F.col("a.lat").alias("y1"), short.alias("x2"), F.col("b.lat").alias("y2"))
 
 
-def _polygon_cells(polygons: DataFrame, max_level: int = MAX_LEVEL) -> DataFrame:
-    """Cells with a point of each boundary: inner ones (``edges`` null), and border cells with the edges in them or north of them.
-
-    A boundary is cut into some 4 to 8 cells a side, up to ``max_level``. An edge north of a cell that spans its whole
-    width is crossed from every point of the cell and only counted (``flips``). A cell that no edge touches is all inside
-    or all outside, as its centre is.
+def _regions(spots: DataFrame, count: int, most: int) -> Regions:
+    """Cells over the whole globe with at most ``most`` locations each, as long as cells can be cut."""
+    level, down, crowded, cells, crowd = 0, math.ceil(math.log(max(count / most, 1), 4)) + 1, {(0, 0)}, [], spots
+    if count <= most:
+        return Regions.of([(0, 0, 0)])
+    while crowded:
+        deepest = min(level + down, DEEPEST)
+        x, y = grid_cell(F.col("latitude"), F.col("longitude"), deepest)
+        counted = crowd.groupBy(x.alias("x"), y.alias("y")).agg(F.count(F.lit(1)).alias("n")).collect()
+        held = {deepest: Counter({(r["x"], r["y"]): r["n"] for r in counted})}
+        for above in range(deepest - 1, level, -1):
+            held[above] = Counter()
+            for (x, y), n in held[above + 1].items():
+                held[above][x >> 1, y >> 1] += n
+        while level < deepest:
+            level += 1
+            quarters = [(2 * x + i, 2 * y + j) for x, y in crowded for i in (0, 1) for j in (0, 1)]
+            crowded = {c for c in quarters if held[level][c] > most and level < DEEPEST}
+            cells += [(level, *c) for c in quarters if c not in crowded]
+        if crowded:
+            x, y = grid_cell(F.col("latitude"), F.col("longitude"), level)
+            known = spots.sparkSession.createDataFrame(sorted(crowded), "x int, y int")
+            crowd = spots.withColumns({"x": x, "y": y}).join(F.broadcast(known), ["x", "y"], "left_semi").drop("x", "y")
+        down = _STEP
+    return Regions.of(cells)
+
+
+def _parts(areas: DataFrame, regions: Regions, shares: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Into how many parts each region's areas are dealt, the number of its first part, and the bytes of all areas.
+
+    A region with more than 1/shares of all, or more than a task should hold, has several; each meets all its locations.
     """
-    edges = _edges(polygons)
-    width = F.sum(F.abs(F.col("x2") - F.col("x1"))) / 720.0
-    # a boundary that has gone round the globe reaches the south pole
-    south = F.when(F.abs(F.sum(F.col("x2") - F.col("x1"))) > 180.0, -90.0).otherwise(F.min(F.least("y1", "y2")))
-    height = (F.max(F.greatest("y1", "y2")) - south) / 180.0
-    share = F.greatest(width, height, F.lit(2.0**-max_level))
-    level = F.least(F.greatest(F.floor(-F.log2(share)) + 2, F.lit(0)), F.lit(max_level)).cast("int")
-    shapes = edges.groupBy("name").agg(level.alias("level"), south.alias("south"))
-    n = F.call_function("shiftleft", F.lit(1), F.col("level"))
-    column = lambda x: F.floor((x + 180.0) / 360.0 * n)  # noqa: E731  beyond the globe for edges over the 180th meridian
-    row = lambda y: F.least(F.greatest(F.floor((y + 90.0) / 180.0 * n), F.lit(0)), n - 1)
-    west, east, low, high = F.least("x1", "x2"), F.greatest("x1", "x2"), F.least("y1", "y2"), F.greatest("y1", "y2")
-    cells = (
-        edges.join(shapes, "name")
-        .withColumn("x", F.explode(F.sequence(column(west - SLACK), column(east + SLACK))))
-        .withColumn("y", F.explode(F.sequence(row(F.col("south") - SLACK), row(high + SLACK))))
-    )
-    beyond = row(low - SLACK) > F.col("y")
-    spans = (column(west + SLACK) < F.col("x")) & (F.col("x") < column(east - SLACK))
-    center_x, center_y = (F.col("x") + 0.5) / n * 360.0 - 180.0, (F.col("y") + 0.5) / n * 180.0 - 90.0
-    turn = F.floor(F.col("x") / n) * 360.0
-    edge = F.struct((F.col("x1") - turn).alias("x1"), "y1", (F.col("x2") - turn).alias("x2"), "y2")
-    count = lambda c: F.sum(c.cast("int"))
-    crossed = _crosses(*(F.col(c) for c in ("x1", "y1", "x2", "y2")), center_x, center_y)
-    return (
-        cells.groupBy("name", "level", F.pmod("x", n).cast("int").alias("cell_x"), F.col("y").cast("int").alias("cell_y"))
-        .agg(
-            F.bool_or(~beyond).alias("touched"),
-            count(beyond & spans).alias("flips"),
-            count(crossed).alias("center"),
-            F.collect_list(F.when(~(beyond & spans), edge)).alias("edges"),
-        )
-        .filter(F.col("touched") | (F.col("center") % 2 == 1))
-        .select("name", "level", "cell_x", "cell_y", "flips", F.when(F.col("touched"), F.col("edges")).alias("edges"))
-    )
-
-
-class _Polygons:
-    """How boundaries are cut: each smaller cell keeps those edges of its cell that are in it or north of it."""
-
-    payload = ["flips", "edges"]
-    payload_bytes = f"{_EDGE_BYTES} * coalesce(size(edges), 0)"
-
-    @staticmethod
-    def cells(polygons: DataFrame, tree: CellTree) -> DataFrame:
-        cells = _polygon_cells(polygons, min(tree.base, MAX_LEVEL))
-        return cells.withColumn("inner", F.col("edges").isNull())
-
-    @staticmethod
-    def cut(children: DataFrame) -> DataFrame:
-        n = F.call_function("shiftleft", F.lit(1), F.col("level"))
-        lon, lat = lambda x: x / n * 360.0 - 180.0, lambda y: y / n * 180.0 - 90.0
-        bounds = {
-            "west": lon(F.col("cell_x")) - SLACK, "east": lon(F.col("cell_x") + 1) + SLACK,
-            "south": lat(F.col("cell_y")) - SLACK, "north": lat(F.col("cell_y") + 1) + SLACK,
-        }
-        beyond = lambda e: F.least(e["y1"], e["y2"]) > F.col("north")
-        spans = lambda e: (F.least(e["x1"], e["x2"]) < F.col("west")) & (F.greatest(e["x1"], e["x2"]) > F.col("east"))
-        near = lambda e: (
-            (F.greatest(e["x1"], e["x2"]) >= F.col("west"))
-            & (F.least(e["x1"], e["x2"]) <= F.col("east"))
-            & (F.greatest(e["y1"], e["y2"]) >= F.col("south"))
-        )
-        center = lon(F.col("cell_x") + 0.5), lat(F.col("cell_y") + 0.5)
-        kept = children.withColumns(bounds).select(
-            "*",
-            (F.col("flips") + F.size(F.filter("edges", lambda e: beyond(e) & spans(e)))).alias("more"),
-            F.filter("edges", lambda e: near(e) & ~(beyond(e) & spans(e))).alias("own"),
-        )
-        named = ["name", "level", "cell_x", "cell_y"]
-        # generators keep what follows from being merged with the steps before, where these would be evaluated many times over
-        kept = kept.select(*named, *bounds, F.inline(F.array(F.struct(F.col("more").alias("flips"), F.col("own").alias("edges")))))
-        placed = F.struct((~F.exists("edges", lambda e: ~beyond(e))).alias("inner"), (_crossings(*center) % 2 == 1).alias("center"))
-        placed = kept.select(*named, "flips", "edges", F.inline(F.array(placed)))
-        return placed.filter(~F.col("inner") | F.col("center")).drop("center")
-
-    @staticmethod
-    def holds(latitude: Column, longitude: Column) -> Column:
-        return _crossings(longitude, latitude) % 2 == 1
-
-
-def _crossings(x: Column, y: Column) -> Column:
-    """How many edges the way due north from a point of a cell crosses. Most cells have few edges, which are spelled out: that is
-    compiled, a loop over an array is not."""
-    crosses = lambda e: _crosses(e["x1"], e["y1"], e["x2"], e["y2"], x, y).cast("long")
-    first = reduce(Column.__add__, (F.coalesce(crosses(F.get("edges", F.lit(i))), F.lit(0)) for i in range(_FEW_EDGES)), F.col("flips"))
-    every = F.aggregate("edges", F.col("flips"), lambda found, e: found + crosses(e))
-    return F.when(F.size("edges") <= _FEW_EDGES, first).otherwise(every)
+    size = F.coalesce(F.octet_length(F.col("name").cast("string")), F.lit(0)) + _AREA_BYTES + _EDGE_BYTES * F.size("edges") / 4
+    bytes_of = np.zeros(len(regions.level))
+    for row in areas.groupBy("region").agg(F.sum(size).alias("bytes")).collect():
+        bytes_of[row["region"]] = row["bytes"]
+    copies = np.ceil(bytes_of / min(max(bytes_of.sum() / shares, 1.0), _PART_BYTES)).astype(np.int64)
+    return copies, np.cumsum(copies) - copies, int(bytes_of.sum())
 
 
 def tiles_in_polygons(
@@ -141,8 +93,41 @@ def tiles_in_polygons(
     and latitude, shorter than 180 degrees, and may cross the 180th meridian. Of a ring round a pole the side away from the
     north pole is inside. Corners that are null or off the globe are passed over, rings of fewer than three hold nothing.
     A tile on an edge is on one side of it only, so that neighbours with a common border share no tile; 180 degrees east counts as
-    180 west. Inner cells give their sums, tiles in border cells are tested with the cell's own edges (see ``sums_of_areas``).
+    180 west. ``tests`` are whole numbers; others are summed as doubles.
+
+    Locations are summed up once and dealt by region, cells of the globe with so many of them that one task can hold them.
+    Boundaries go to the regions they touch, with the edges in them or north of them, and ``ring_search`` finds the sums there. While
+    these rows fit ``max_broadcast_bytes`` they are broadcast to the locations, beyond that both are shuffled; a region of very
+    many boundaries is split in both cases. What is written grows with locations and boundaries, not with the length of borders in cells.
     """
     x = F.col("longitude")
     located = tiles.filter(is_location(F.col("latitude"), x)).withColumn("longitude", F.when(x == 180.0, -180.0).otherwise(x))
-    return sums_of_areas(cell_tree(located, shares), polygons, _Polygons, max_broadcast_bytes, shares)
+    whole = isinstance(located.schema["tests"].dataType, T.IntegralType)
+    tests = F.sum("tests").cast("long" if whole else "double")
+    spots = checkpointed(located.groupBy("latitude", "longitude").agg(F.count(F.lit(1)).alias("tile_count"), tests.alias("total_tests")))
+    shares = shares or int(spots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = spots.count()
+    regions = _regions(spots, count, min(max(count // (4 * shares), _FEW_LOCATIONS), _MOST_LOCATIONS))
+
+    edges = _edges(polygons).filter(F.col("name").isNotNull())
+    rings = edges.groupBy("name").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+    name = rings.schema["name"]
+    routed = T.StructType([name, *T.StructType.fromDDL("region int, flips int, edges array<double>")])
+    areas = checkpointed(rings.mapInArrow(ring_search.route(regions), routed))
+    copies, first, size = _parts(areas, regions, shares)
+    parts = int(copies.sum())
+    with_part = T.StructType([*spots.schema, T.StructField("part", T.IntegerType())])
+    dealt_out = spots.mapInArrow(ring_search.deal(regions, first, copies), with_part)
+    number = min(max(parts, 1), 4 * shares)
+    dealt_out = dealt_out.repartition(number, "part").groupBy("part")
+    of_region = spots.sparkSession.createDataFrame([(i, int(c), int(f)) for i, (c, f) in enumerate(zip(copies, first)) if c], "region int, copies int, first int")
+    part = F.col("first") + F.pmod(F.xxhash64("name"), F.col("copies")).cast("int")
+    areas = areas.join(F.broadcast(of_region), "region").select(*areas.columns, part.alias("part"))
+    found = T.StructType([name, T.StructField("tile_count", T.LongType()), spots.schema["total_tests"]])
+    if size <= max_broadcast_bytes:
+        held = spots.sparkSession.sparkContext.broadcast(areas.toArrow().combine_chunks().sort_by("part"))
+        sums = dealt_out.applyInArrow(ring_search.sum_up_held(regions, held), found)
+    else:
+        areas_dealt = areas.repartition(number, "part").groupBy("part")
+        sums = dealt_out.cogroup(areas_dealt).applyInArrow(ring_search.sum_up(regions), found)
+    return sums.groupBy("name").agg(*(F.sum(c).alias(c) for c in ("tile_count", "total_tests")))
