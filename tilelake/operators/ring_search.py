@@ -25,7 +25,7 @@ SLACK = 1e-9
 # Points that a cell on a border is not cut for.
 _FEW_POINTS = 32
 # Edges of cells, or points, that are worked on at a time.
-_AT_ONCE = 500_000
+_AT_ONCE = 150_000
 _SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
 
 
